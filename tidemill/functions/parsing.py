@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemill.functions import wording as w
-from tidemill.functions.text import python_regex, strip, to_number
+from tidemill.functions.text import bind, python_regex, strip, to_number
 
 
 def message_content(messages: Column) -> Column:
@@ -44,13 +44,15 @@ def first_value(text: Column) -> Column:
 
 def last_value(text: Column) -> Column:
     """Last match of the most explicit pattern, outside think blocks."""
-    spoken = without_thought(text)
-    return F.coalesce(
-        *[
-            to_number(F.try_element_at(F.regexp_extract_all(spoken, F.lit(python_regex(p)), 1), F.lit(-1)))
-            for p in w.LAST_VALUE_PATTERNS
-        ]
-    )
+    def latest(spoken: Column) -> Column:
+        return F.coalesce(
+            *[
+                to_number(F.try_element_at(F.regexp_extract_all(spoken, F.lit(python_regex(p)), 1), F.lit(-1)))
+                for p in w.LAST_VALUE_PATTERNS
+            ]
+        )
+
+    return bind(without_thought(text), latest)
 
 
 def all_numbers(text: Column, pattern: str = w.ANY_NUMBER_PATTERN) -> Column:
@@ -72,21 +74,23 @@ def forecast_sequence(
     there are at least ``header_min``.  Else the first comma list of ``list_min`` to
     ``list_max`` unsigned numbers counts.  Else the array is empty.
     """
-    spoken = without_thought(text)
     complete = lambda numbers: ~F.exists(numbers, lambda x: x.isNull())
 
-    listed = F.regexp_extract(spoken, python_regex(w.RESULT_PATTERN), 2)
-    tokens = F.filter(F.transform(F.split(F.replace(listed, F.lit(" "), F.lit("")), ","), strip), lambda t: t != "")
-    headed = F.transform(tokens, to_number)
-
-    lists = F.transform(
-        F.regexp_extract_all(spoken, F.lit(python_regex(w.LIST_PATTERN)), 1),
-        lambda match: F.transform(F.split(match, ","), lambda t: to_number(strip(t))),
-    )
-    fitting = F.get(
-        F.filter(lists, lambda n: F.size(n).between(list_min, list_max) & complete(n)), F.lit(0)
-    )
-    chosen = F.when((F.size(headed) >= header_min) & complete(headed), headed).otherwise(fitting)
+    def after_header(spoken: Column) -> Column:
+        listed = F.regexp_extract(spoken, python_regex(w.RESULT_PATTERN), 2)
+        tokens = F.transform(F.split(F.replace(listed, F.lit(" "), F.lit("")), ","), strip)
+        numbers = F.transform(F.filter(tokens, lambda t: t != ""), to_number)
+        return bind(numbers, lambda n: F.when((F.size(n) >= header_min) & complete(n), n))
+
+    def first_list(spoken: Column) -> Column:
+        lists = F.transform(
+            F.regexp_extract_all(spoken, F.lit(python_regex(w.LIST_PATTERN)), 1),
+            lambda match: F.transform(F.split(match, ","), lambda t: to_number(strip(t))),
+        )
+        fitting = F.filter(lists, lambda n: F.size(n).between(list_min, list_max) & complete(n))
+        return F.get(fitting, F.lit(0))
+
+    chosen = bind(without_thought(text), lambda spoken: F.coalesce(after_header(spoken), first_list(spoken)))
     return F.coalesce(F.slice(chosen, 1, horizon), F.array().cast("array<double>"))
 
 

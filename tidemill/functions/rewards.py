@@ -13,72 +13,73 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidemill.functions import wording as w
-from tidemill.functions.parsing import all_numbers, last_value
-from tidemill.functions.text import count_of, to_number
+from tidemill.functions.parsing import last_value
+from tidemill.functions.text import to_number
 
 
 @dataclass(frozen=True)
 class RewardInput:
-    """Columns and settings a reward function may use."""
+    """What a reward function may use.
+
+    ``numbers`` (all numbers of the content), ``ratio`` (answer / truth) and the tag
+    counts are columns computed once per completion; a tag that is not set has none.
+    """
 
     content: Column
     truth: Column
     lang: Column
-    start_tag: str | None = w.THINK_OPEN
-    end_tag: str | None = w.THINK_CLOSE
-    answer_from: str = "first"
+    numbers: Column
+    ratio: Column
+    start_count: Column | None
+    end_count: Column | None
 
 
 RewardFunction = Callable[[RewardInput], Column]
 
 
-def _once(content: Column, tag: str) -> Column:
-    return count_of(content, tag) == 1
+def answer(content: Column, numbers: Column, answer_from: str = "first") -> Column:
+    """The number a completion answers with.
+
+    ``first`` is the first number anywhere in the text, reasoning included;
+    ``final`` is the last explicit value outside the reasoning.
+    """
+    if answer_from == "first":
+        return to_number(F.get(numbers, F.lit(0)))
+    if answer_from == "final":
+        return last_value(content)
+    raise ValueError(f"unknown answer_from: {answer_from}")
 
 
 def match_format_exactly(r: RewardInput) -> Column:
     """3 if the end tag occurs exactly once."""
-    if not r.end_tag:
+    if r.end_count is None:
         return F.lit(0.0)
-    return F.when(_once(r.content, r.end_tag), 3.0).otherwise(0.0)
+    return F.when(r.end_count == 1, 3.0).otherwise(0.0)
 
 
 def match_format_approximately(r: RewardInput) -> Column:
     """Per configured tag: 0.5 if it occurs exactly once, else -1."""
     score = F.lit(0.0)
-    for tag in (r.start_tag, r.end_tag):
-        if tag:
-            score = score + F.when(_once(r.content, tag), 0.5).otherwise(-1.0)
+    for count in (r.start_count, r.end_count):
+        if count is not None:
+            score = score + F.when(count == 1, 0.5).otherwise(-1.0)
     return score
 
 
 def check_answer(r: RewardInput) -> Column:
-    """Closeness of the answer to the truth.
-
-    By default the answer is the first number anywhere in the text, reasoning
-    included; ``answer_from="final"`` takes the last explicit value outside of it.
-    """
-    if r.answer_from not in ("first", "final"):
-        raise ValueError(f"unknown answer_from: {r.answer_from}")
-    answer = (
-        last_value(r.content)
-        if r.answer_from == "final"
-        else to_number(F.get(all_numbers(r.content), F.lit(0)))
-    )
-    ratio = F.try_divide(answer, r.truth.cast("double"))
+    """Closeness of the answer to the truth; no answer or a truth of zero has no ratio."""
     return (
         F.when(r.truth.isNull(), 0.0)
-        # No number, or a truth of zero.
-        .when(ratio.isNull(), -4.5)
-        .when(ratio.between(0.9, 1.1), 5.0)
-        .when(ratio.between(0.7, 1.3), 1.5)
+        .when(r.ratio.isNull(), -4.5)
+        .when(r.ratio.between(0.9, 1.1), 5.0)
+        .when(r.ratio.between(0.7, 1.3), 1.5)
         .otherwise(-1.5)
     )
 
 
 def check_numbers(r: RewardInput) -> Column:
     """3.5 if the text holds any number, else -1.5."""
-    return F.when(F.size(all_numbers(r.content)) > 0, 3.5).otherwise(-1.5)
+    return F.when(F.size(r.numbers) > 0, 3.5).otherwise(-1.5)
 
 
 def language_reward(r: RewardInput) -> Column:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import sys
 import unicodedata
+from collections.abc import Callable
 from functools import lru_cache
 
 from pyspark.sql import Column
@@ -86,9 +87,13 @@ def _digit_tables() -> tuple[str, str]:
 
 def to_number(token: Column) -> Column:
     """Token to double, NULL if it is no number; any Unicode decimal digit counts."""
-    ascii_only = token.rlike(r"^[\x00-\x7f]*$")
     other, plain = _digit_tables()
-    return F.when(ascii_only, token).otherwise(F.translate(token, other, plain)).try_cast("double")
+    return F.translate(token, other, plain).try_cast("double")
+
+
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` over ``value``, which is evaluated once however often it is used."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def count_of(text: Column, needle: str) -> Column:

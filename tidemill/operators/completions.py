@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemill.functions import parsing as parse
 from tidemill.functions import rewards as rw
 from tidemill.functions import wording as w
+from tidemill.functions.text import count_of
 from tidemill.plans.sizing import PLAIN_LIMIT, broadcast_if_small, join_on, largest_group
 
 # Generations of one sample that are scored together in one task.
@@ -106,11 +107,19 @@ def score_completions(
     if unknown:
         raise ValueError(f"unknown reward functions: {unknown}")
     optional = lambda c, kind: F.col(c) if c in df.columns else F.lit(None).cast(kind)
+    text = F.col(content)
+    # Helper columns, so that no regex runs twice per completion.
+    work = df.withColumn("__numbers", parse.all_numbers(text))
+    found = rw.answer(text, F.col("__numbers"), answer_from)
+    work = work.withColumn("__ratio", F.try_divide(found, optional(truth, "double").cast("double")))
+    counts = {"__starts": start_tag, "__ends": end_tag}
+    work = work.withColumns({c: count_of(text, tag) for c, tag in counts.items() if tag})
     given = rw.RewardInput(
-        F.col(content), optional(truth, "double"), optional(lang, "string"), start_tag, end_tag, answer_from
+        text, optional(truth, "double"), optional(lang, "string"), F.col("__numbers"), F.col("__ratio"),
+        F.col("__starts") if start_tag else None, F.col("__ends") if end_tag else None,
     )
-    scored = df.withColumns({n: rw.REWARDS[n](given) for n in names})
-    return scored.withColumn("reward", weighted_sum(names, weights))
+    scored = work.withColumns({n: rw.REWARDS[n](given) for n in names})
+    return scored.select(*df.columns, *names, weighted_sum(names, weights).alias("reward"))
 
 
 def weighted_sum(names: Sequence[str], weights: Mapping[str, float] | None = None) -> Column:

@@ -65,8 +65,10 @@ def label_language(
 
     body = F.col(text)
     script = F.when(body.rlike(KANA), "ja").when(body.rlike(HAN), "zh")
+    # Per-text work happens before the explode, which else repeats it per trigram.
     # The outer explode keeps texts without any trigram.
-    grams = df.select(*id_columns, script.alias("__script"), F.explode_outer(trigrams(body)).alias("gram"))
+    cut = df.select(*id_columns, script.alias("__script"), trigrams(body).alias("__grams"))
+    grams = cut.select(*id_columns, "__script", F.explode_outer("__grams").alias("gram"))
     score = lambda i: F.when(F.col("gram").isNotNull(), F.coalesce(F.col(f"p{i}"), F.lit(floors[langs[i]])))
     sums = grams.join(wide, "gram", "left").groupBy(*id_columns).agg(
         F.max("__script").alias("__script"), *[F.sum(score(i)).alias(f"s{i}") for i in range(len(langs))]

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemill.functions.text import bind
 from tidemill.operators.quantiles import group_quantiles
 from tidemill.plans.sizing import PLAIN_LIMIT, attach, join_on
 
@@ -115,7 +116,7 @@ def sample_results(df: DataFrame, sample: str = "sample_idx", inputs: str = "inp
 
 def truth_or_targets(parsed_truth: Column, targets: Column) -> Column:
     """Truth parsed from the expected answer, or the stored targets if that failed."""
-    return F.when(F.size(parsed_truth) > 0, parsed_truth).otherwise(targets)
+    return bind(parsed_truth, lambda parsed: F.when(F.size(parsed) > 0, parsed).otherwise(targets))
 
 
 def macro_average(results: DataFrame, keys: Sequence[str] = ()) -> DataFrame:

@@ -21,9 +21,10 @@ def month_split(df: DataFrame, pos: str = "pos", train_months: int = 12, val_mon
     )
 
 
-def with_series_size(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
-    """Add ``__n``, the number of rows per series."""
-    return attach(df, df.groupBy(*keys).agg(F.count("*").alias("__n")), keys)
+def with_series_size(df: DataFrame, keys: Sequence[str] = (), sizes: DataFrame | None = None) -> DataFrame:
+    """Add ``__n``, the number of rows per series, counted here or given as (keys, n)."""
+    counted = df.groupBy(*keys).agg(F.count("*").alias("__n")) if sizes is None else sizes.select(*keys, F.col("n").alias("__n"))
+    return attach(df, counted, keys)
 
 
 def ratio_split(
@@ -34,13 +35,15 @@ def ratio_split(
     purge: bool = False,
     window: int | None = None,
     start: str = "start",
+    sizes: DataFrame | None = None,
 ) -> DataFrame:
     """First ``int(n * train_ratio)`` samples are train, the rest val.
 
     ``purge=True`` also drops train windows that reach into the first val window;
-    it needs the window length in rows.
+    it needs the window length in rows.  ``sizes`` gives the sample counts (keys, n)
+    if they are known, which saves counting the samples.
     """
-    sized = with_series_size(df, keys)
+    sized = with_series_size(df, keys, sizes)
     cut = F.floor(F.col("__n") * F.lit(float(train_ratio)))
     out = sized.withColumn("split", F.when(F.col(ordinal) < cut, "train").otherwise("val"))
     if purge:

@@ -128,6 +128,12 @@ def window_count(rows, length: int, horizon: int = 1, stride: int | None = None)
     return F.when(spare >= 0, whole(spare, stride) + 1).otherwise(F.lit(0)).cast("long")
 
 
+def window_counts(df: DataFrame, length: int, horizon: int = 1, stride: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
+    """(keys, n): number of windows per series, without cutting them."""
+    rows = df.groupBy(*keys).agg(F.count("*").alias("__n"))
+    return rows.select(*keys, window_count(F.col("__n"), length, horizon, stride).alias("n"))
+
+
 def window_sweep(df: DataFrame, lengths: Sequence[int], horizon: int = 1, stride: int | None = None, keys: Sequence[str] = ()) -> DataFrame:
     """(keys, length, n_windows) for several input lengths, from row counts alone."""
     counts = df.groupBy(*keys).agg(F.count("*").alias("__n"))

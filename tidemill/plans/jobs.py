@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import parsing as parse
 from tidemill.operators import clean, completions, metrics, render, scale, split
 from tidemill.operators.index import series_index
+from tidemill.operators.windows import window_counts
 from tidemill.plans.sizing import join_on
 from tidemill.sources import io
 
@@ -66,10 +67,21 @@ def write_scaled_split(scaled: DataFrame, params: DataFrame, folder: str, name:
     io.write_scaler(params, f"{folder}/{name}_scaler")
 
 
-def build_dataset(df: DataFrame, length: int, horizon: int, order_by: Sequence[str], keys: Sequence[str] = (), train_ratio: float = 0.8, purge: bool = False, **options) -> DataFrame:
-    """Samples with their train/val split."""
-    samples = render.build_samples(df, length, horizon, order_by, keys, **options)
-    return split.ratio_split(samples, train_ratio, keys=keys, purge=purge, window=length + horizon)
+def build_dataset(
+    df: DataFrame,
+    length: int,
+    horizon: int,
+    order_by: Sequence[str],
+    keys: Sequence[str] = (),
+    stride: int | None = None,
+    train_ratio: float = 0.8,
+    purge: bool = False,
+    **options,
+) -> DataFrame:
+    """Samples with their train/val split; sample counts follow from row counts."""
+    samples = render.build_samples(df, length, horizon, order_by, keys, stride, **options)
+    sizes = window_counts(df, length, horizon, stride, keys)
+    return split.ratio_split(samples, train_ratio, keys=keys, purge=purge, window=length + horizon, sizes=sizes)
 
 
 def training_set(samples: DataFrame, keep: Sequence[str] = (), chat: bool = True, drop_long: bool = True, length: str | None = None) -> DataFrame:
