@@ -190,5 +190,4 @@ UNION ALL SELECT k, start, 'conversational', {conversational_sql()}, {lines('t_o
 UNION ALL SELECT k, start, 'numeric_only', {numeric_sql(5, 1)}, {numeric_answer_sql(1)} FROM ({_TEMPLATE_ROWS})
 UNION ALL SELECT k, start, 'reasoning', {reasoning_sql(1)}, {lines('t_out')} FROM ({_TEMPLATE_ROWS})""")
 def template_compare(spark, d):
-    cut = windows.strided_windows(_scaled(spark, d), 5, 1, ORDER, KEYS)
-    return render.compare_templates(cut, prompts.TEMPLATES, 1, ["k", "start"])
+    return render.compare_templates(_scaled(spark, d), prompts.TEMPLATES, 5, 1, ORDER, KEYS)

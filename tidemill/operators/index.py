@@ -7,7 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.plans.sizing import PLAIN_LIMIT, broadcast_if_small, join_on, materialize, pick_strategy
+from tidemill.plans.sizing import (
+    PLAIN_LIMIT, broadcast_if_small, join_on, materialize, pick_strategy, shuffle_partitions,
+)
 
 _RID, _PART = "__rid", "__part"
 
@@ -43,7 +45,7 @@ def _ranged_index(df, order_by, keys, pos, partitions):
     within a run (rows of one series in one partition) ids are consecutive, hence
     ``pos = id - first id of the run + rows of the series in earlier partitions``.
     """
-    parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = partitions or shuffle_partitions(df.sparkSession)
     ordered = df.repartitionByRange(parts, *keys, *order_by).sortWithinPartitions(*keys, *order_by)
     rows = materialize(ordered.withColumn(_RID, F.monotonically_increasing_id()))
     rows = rows.withColumn(_PART, F.shiftright(F.col(_RID), 33))

@@ -64,7 +64,8 @@ def label_language(
         wide = F.broadcast(wide)
 
     body = F.col(text)
-    script = F.when(body.rlike(KANA), "ja").when(body.rlike(HAN), "zh")
+    # A number, because sums and maxima of numbers stay in a hash aggregate.
+    script = F.when(body.rlike(KANA), 1).when(body.rlike(HAN), 2)
     # Per-text work happens before the explode, which else repeats it per trigram.
     # The outer explode keeps texts without any trigram.
     cut = df.select(*id_columns, script.alias("__script"), trigrams(body).alias("__grams"))
@@ -76,4 +77,5 @@ def label_language(
     # Highest score, then first in code order.
     ranked = F.sort_array(F.array(*[F.struct((-F.col(f"s{i}")).alias("s"), F.lit(l).alias("l")) for i, l in enumerate(langs)]))
     guess = F.when(F.col("s0").isNotNull(), ranked[0]["l"]) if langs else F.lit(None).cast("string")
-    return sums.select(*id_columns, F.coalesce("__script", guess, F.lit(UNDETERMINED)).alias(label))
+    by_script = F.when(F.col("__script") == 1, "ja").when(F.col("__script") == 2, "zh")
+    return sums.select(*id_columns, F.coalesce(by_script, guess, F.lit(UNDETERMINED)).alias(label))

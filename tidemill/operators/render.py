@@ -59,33 +59,44 @@ def build_samples(
 
 
 def compare_templates(
-    windows: DataFrame,
+    df: DataFrame,
     templates: Sequence[str],
+    length: int,
     horizon: int,
-    keep: Sequence[str] = ("start",),
+    order_by: Sequence[str],
+    keys: Sequence[str] = (),
+    stride: int | None = None,
     timestamp: str = "ts",
     value: str = "value",
     context: str | None = None,
+    **options,
 ) -> DataFrame:
-    """(keep, template, prompt, response): the same windows under several templates."""
+    """(keys, start, template, prompt, response): each window under several templates."""
     for t in templates:
         p.check_template(t)
-    is_text = windows.schema[f"input_{timestamp}"].dataType.elementType.simpleString() == "string"
+    is_text = _is_text(df, timestamp)
 
-    def pieces(side, make, template):
-        ts = F.transform(F.col(f"{side}_{timestamp}"), lambda t: time_text(t, is_text))
-        return F.zip_with(ts, F.col(f"{side}_{value}"), lambda t, v: make(template, t, fmt4(v)))
+    def piece(make, template):
+        return lambda row: make(template, time_text(row[timestamp], is_text), fmt4(row[value]))
 
+    derived = {}
+    for t in templates:
+        derived |= {f"asked_{t}": piece(p.prompt_piece, t), f"told_{t}": piece(p.response_piece, t)}
+    context = context if context in df.columns else None
+    cut = strided_windows(
+        df, length, horizon, order_by, keys, stride, columns=[value],
+        first=[context] if context else [], extra=[timestamp], derived=derived, **options,
+    )
     shown = F.col(context) if context else None
     rows = [
         F.struct(
             F.lit(t).alias("template"),
-            p.prompt(t, pieces("input", p.prompt_piece, t), horizon, shown).alias("prompt"),
-            p.response(t, pieces("target", p.response_piece, t)).alias("response"),
+            p.prompt(t, F.col(f"input_asked_{t}"), horizon, shown).alias("prompt"),
+            p.response(t, F.col(f"target_told_{t}")).alias("response"),
         )
         for t in templates
     ]
-    return windows.select(*keep, F.inline(F.array(*rows)))
+    return cut.select(*keys, "start", F.inline(F.array(*rows)))
 
 
 def reformat_samples(samples: DataFrame, layout: str, horizon: int = 96) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.index import series_index
-from tidemill.plans.sizing import PLAIN_LIMIT
+from tidemill.plans.sizing import PLAIN_LIMIT, group_sizes, shuffle_partitions
 
 MIN_CHUNK_ROWS = 4096
 
@@ -58,11 +58,16 @@ def strided_windows(
     if size < window:
         raise ValueError(f"chunk_rows must be at least {window}")
 
+    spread = False
     if pos is None:
         wanted = list(dict.fromkeys([*keys, *order_by, *columns, *first, *extra]))
-        df = series_index(
-            df.select(*wanted), order_by, keys, "__pos", strategy, partitions, plain_limit
-        )
+        df = df.select(*wanted)
+        if strategy == "auto":
+            largest, groups = group_sizes(df, keys)
+            strategy = "plain" if largest <= plain_limit else "ranged"
+            # Few series would leave the windows, many times their rows, to few tasks.
+            spread = strategy == "plain" and groups < 4 * shuffle_partitions(df.sparkSession)
+        df = series_index(df, order_by, keys, "__pos", strategy, partitions, plain_limit)
         pos = "__pos"
 
     home = whole(F.col(pos), size)
@@ -75,6 +80,8 @@ def strided_windows(
         F.explode(F.when(borrowed, F.array(home, home - 1)).otherwise(F.array(home))).alias("__chunk"),
         F.struct(F.col(pos).alias("__at"), *[F.col(c) for c in fields]).alias("__row"),
     )
+    if spread:
+        placed = placed.repartition(shuffle_partitions(df.sparkSession), *keys, "__chunk")
     chunks = placed.groupBy(*keys, "__chunk").agg(F.sort_array(F.collect_list("__row")).alias("__rows"))
 
     base = F.col("__chunk") * size

@@ -19,12 +19,20 @@ PLAIN_LIMIT = 2_000_000
 BROADCAST_ROWS = 200_000
 
 
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the biggest group; one pass over the key columns, combined map-side."""
+def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
+    """(rows of the biggest group, number of groups); one pass over the key columns."""
     if not keys:
-        return df.count()
-    top = df.groupBy(*keys).count().agg(F.max("count")).first()[0]
-    return int(top or 0)
+        return df.count(), 1
+    top, groups = df.groupBy(*keys).count().agg(F.max("count"), F.count("*")).first()
+    return int(top or 0), int(groups)
+
+
+def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
+    return group_sizes(df, keys)[0]
+
+
+def shuffle_partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
 def pick_strategy(strategy: str, df: DataFrame, keys: Sequence[str], limit: int = PLAIN_LIMIT) -> str:
