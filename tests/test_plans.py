@@ -69,3 +69,15 @@ def test_regexes_run_once_per_completion(spark):
 def test_strategy_names(spark):
     with pytest.raises(ValueError):
         series_index(spark.range(3), ["id"], strategy="fast")
+
+
+def test_scratch_tables_can_be_dropped(spark):
+    sizing.drop_scratch(spark)
+    table = sizing.materialize(spark.range(7))
+    assert table.count() == 7
+    path = table.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    import os
+
+    assert os.path.isdir(path)
+    assert sizing.drop_scratch(spark) == 1 and not os.path.isdir(path)
+    assert sizing.drop_scratch(spark) == 0

@@ -143,6 +143,16 @@ def text_stats(spark, d):
     )
 
 
+@query(f"""SELECT sample_idx, length(content) AS content_chars, length(content) - length(replace(content, ',', '')) AS content_commas,
+  length(output) AS output_chars, length(output) - length(replace(output, ',', '')) AS output_commas
+FROM (SELECT *, '予測結果（64点）:' || chr(10) || array_to_string(list_transform(target_values, lambda x: printf('%.4f', x)), ', ') AS output
+  FROM ({SEQUENCES}))""")
+def response_statistics(spark, d):
+    stats = ops.text_statistics(sequences(spark, d), ["content", "output"])
+    names = ["content_chars", "content_commas", "output_chars", "output_commas"]
+    return stats.select("sample_idx", *[F.col(n).cast("long").alias(n) for n in names])
+
+
 @query(f"""SELECT label, count(*) AS n_total, count_if(len(parsed) > 0) AS n_valid,
   round(avg(CAST(len(parsed) > 0 AS DOUBLE)), 6) AS success_rate,
   round(avg(CAST(contains(content, '<think>') AND contains(content, '</think>') AS DOUBLE)), 6) AS think_rate,

@@ -55,6 +55,15 @@ def parse_completions(
     )
 
 
+def text_statistics(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Add ``<column>_chars`` and ``<column>_commas`` for each text column."""
+    stats = {}
+    for c in columns:
+        stats[f"{c}_chars"] = F.length(c)
+        stats[f"{c}_commas"] = F.regexp_count(F.col(c), F.lit(","))
+    return df.withColumns(stats)
+
+
 def parse_report(parsed: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Counts and shares of parsed sequences and format flags."""
     share = lambda flag: F.avg(flag.cast("double"))

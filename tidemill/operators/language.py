@@ -16,6 +16,7 @@ from tidemill.functions.wording import UNDETERMINED
 from tidemill.plans.sizing import BROADCAST_ROWS, materialize
 
 TOP_GRAMS = 400
+MAX_LANGUAGES = 400
 KANA = r"[\x{3040}-\x{30ff}]"
 HAN = r"[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}]"
 
@@ -55,8 +56,11 @@ def label_language(
     trigram meets at most one row, and sums collapse before the shuffle.
     """
     table = materialize(profile)
-    floors = {r["lang"]: r["log_floor"] for r in table.groupBy("lang").agg(F.min("log_floor").alias("log_floor")).collect()}
+    found = table.groupBy("lang").agg(F.min("log_floor").alias("log_floor")).limit(MAX_LANGUAGES + 1).collect()
+    floors = {r["lang"]: r["log_floor"] for r in found}
     langs = sorted(floors)
+    if len(langs) > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages; a profile row has one column per language")
     wide = table.groupBy("gram").agg(
         *[F.max(F.when(F.col("lang") == l, F.col("log_p"))).alias(f"p{i}") for i, l in enumerate(langs)]
     )

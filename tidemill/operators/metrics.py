@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import bind
 from tidemill.operators.quantiles import group_quantiles
-from tidemill.plans.sizing import PLAIN_LIMIT, attach, join_on
+from tidemill.plans.sizing import PERCENTILE_LIMIT, attach, join_on, materialize
 
 # Upper limits of the absolute-error bands.
 ERROR_BANDS = {"excellent": 0.05, "good": 0.15, "poor": 0.30}
@@ -153,13 +153,16 @@ def error_histogram(
     errors = _errors(df, keys, actual, predicted)
     lo, hi = F.min("__e"), F.max("__e")
     flat = lo == hi
-    bounds = errors.groupBy(*keys).agg(
-        F.when(flat, lo - 0.5).otherwise(lo).alias("__lo"), F.when(flat, hi + 0.5).otherwise(hi).alias("__hi")
-    ).where(F.col("__lo").isNotNull())
+    # Bins and empty bins both start from the bounds, so they are stored.
+    bounds = materialize(
+        errors.groupBy(*keys)
+        .agg(F.when(flat, lo - 0.5).otherwise(lo).alias("__lo"), F.when(flat, hi + 0.5).otherwise(hi).alias("__hi"))
+        .where(F.col("__lo").isNotNull())
+    )
     at = F.least(
         F.lit(bins - 1), F.floor((F.col("__e") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins)
     ).cast("int")
-    counts = attach(errors, bounds, keys).groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"))
+    counts = attach(errors, bounds, keys, stored=True).groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"))
     frame = bounds.select(*keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     return join_on(frame, counts, [*keys, "bin"], "left").select(
@@ -177,7 +180,7 @@ def box_summary(
     actual: str = "actual",
     predicted: str = "predicted",
     strategy: str = "auto",
-    plain_limit: int = PLAIN_LIMIT,
+    plain_limit: int = PERCENTILE_LIMIT,
 ) -> DataFrame:
     """Quartiles, whiskers at 1.5 quartile ranges and the number of outliers of the errors."""
     errors = _errors(df, keys, actual, predicted)

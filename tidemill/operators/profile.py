@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemill.functions.wording import ETT_COLUMNS, ETT_ROW_COUNTS
 from tidemill.operators.quantiles import group_quantiles
-from tidemill.plans.sizing import PLAIN_LIMIT, attach
+from tidemill.plans.sizing import PERCENTILE_LIMIT, attach
 
 
 def is_float(df: DataFrame, column: str) -> bool:
@@ -55,7 +55,7 @@ def describe(
     value: str,
     keys: Sequence[str] = (),
     strategy: str = "auto",
-    plain_limit: int = PLAIN_LIMIT,
+    plain_limit: int = PERCENTILE_LIMIT,
 ) -> DataFrame:
     """count, mean, sample std, min, exact quartiles and max of one column."""
     x = F.when(~missing(df, value), F.col(value).cast("double"))

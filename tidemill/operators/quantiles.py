@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.index import series_index
-from tidemill.plans.sizing import PLAIN_LIMIT, broadcast_if_small, join_on, pick_strategy
+from tidemill.plans.sizing import PERCENTILE_LIMIT, broadcast_if_small, join_on, pick_strategy
 
 
 def group_quantiles(
@@ -17,7 +17,7 @@ def group_quantiles(
     probs: Sequence[float],
     keys: Sequence[str],
     strategy: str = "auto",
-    plain_limit: int = PLAIN_LIMIT,
+    plain_limit: int = PERCENTILE_LIMIT,
     partitions: int | None = None,
 ) -> DataFrame:
     """One row per group with ``q`` = array of quantiles of the non-missing values.

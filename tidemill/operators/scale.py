@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemill.operators.profile import missing
 from tidemill.operators.quantiles import group_quantiles
-from tidemill.plans.sizing import PLAIN_LIMIT, attach
+from tidemill.plans.sizing import PERCENTILE_LIMIT, attach
 
 METHODS = ("minmax", "standard", "robust", "minmax_guarded", "standard_guarded")
 log = logging.getLogger(__name__)
@@ -38,7 +38,7 @@ def fit_scaler(
     fit_on: str = "all",
     split_column: str = "split",
     strategy: str = "auto",
-    plain_limit: int = PLAIN_LIMIT,
+    plain_limit: int = PERCENTILE_LIMIT,
 ) -> DataFrame:
     """Parameter table (keys, column, method, center, scale) from one pass.
 

@@ -56,11 +56,13 @@ def ratio_split(
     return out.drop("__n")
 
 
-def first_middle_last(df: DataFrame, ordinal: str = "ordinal", keys: Sequence[str] = ()) -> DataFrame:
-    """The samples 0, n // 2 and n - 1 of each series."""
+def first_middle_last(
+    df: DataFrame, ordinal: str = "ordinal", keys: Sequence[str] = (), sizes: DataFrame | None = None
+) -> DataFrame:
+    """The samples 0, n // 2 and n - 1 of each series; ``sizes`` as in :func:`ratio_split`."""
     n = F.col("__n")
     at = F.col(ordinal)
-    return with_series_size(df, keys).where((at == 0) | (at == F.floor(n / 2)) | (at == n - 1)).drop("__n")
+    return with_series_size(df, keys, sizes).where((at == 0) | (at == F.floor(n / 2)) | (at == n - 1)).drop("__n")
 
 
 def pick(df: DataFrame, ordinals: Sequence[int], ordinal: str = "ordinal") -> DataFrame:

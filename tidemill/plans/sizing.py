@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 
 # A window over one group runs in one task.  Groups up to this many rows may.
 PLAIN_LIMIT = 2_000_000
+# An exact percentile keeps the distinct values of a group, and of many groups at
+# once, in memory.  Groups up to this many rows may.
+PERCENTILE_LIMIT = 100_000
 # Rows a broadcast side may hold (a few dozen MB at most for the tables here).
 BROADCAST_ROWS = 200_000
 
@@ -56,22 +59,42 @@ def scratch_dir(spark: SparkSession) -> str:
     return folder + "/tidemill"
 
 
+_written: list[str] = []
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Unlike a cached frame it survives lost executors, and its columns can be
-    pruned by the readers that follow.
+    pruned by the readers that follow.  :func:`drop_scratch` removes the tables.
     """
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_scratch(spark: SparkSession) -> int:
+    """Delete the tables this process wrote with :func:`materialize`.
+
+    Call it when the results that read them have been written.
+    """
+    dropped = 0
+    while _written:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_written.pop())
+        dropped += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return dropped
+
+
+def hint_if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast of a stored table if it has at most ``limit`` rows."""
+    return F.broadcast(table) if table.count() <= limit else table
+
+
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Materialise a lookup table and hint a broadcast only if it has few rows."""
-    table = materialize(df)
-    return F.broadcast(table) if table.count() <= limit else table
+    return hint_if_small(materialize(df), limit)
 
 
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -89,10 +112,13 @@ def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "in
     return left.join(renamed, condition, how).drop(*[f"__{c}" for c in on])
 
 
-def attach(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Add the columns of a per-key table (one row in all when there are no keys)."""
+def attach(df: DataFrame, table: DataFrame, keys: Sequence[str], stored: bool = False) -> DataFrame:
+    """Add the columns of a per-key table (one row in all when there are no keys).
+
+    ``stored`` says that ``table`` is read from storage and need not be written again.
+    """
     if keys:
-        return join_on(df, broadcast_if_small(table), keys, "left")
+        return join_on(df, hint_if_small(table) if stored else broadcast_if_small(table), keys, "left")
     # A single row: one scalar subquery instead of a join.
     row = table.select(F.struct(*[F.col(c) for c in table.columns])).scalar()
     out = df.withColumn("__row", row)

@@ -40,7 +40,10 @@ def read_multivariate_csv(
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Predictions with ``actual`` and ``predicted``; responses may span lines."""
+    """Predictions with ``actual`` and ``predicted``; responses may span lines.
+
+    Such files cannot be split, so large tables should have many files or be Parquet.
+    """
     return spark.read.schema(PREDICTION_SCHEMA).options(**CSV_TEXT).csv(path)
 
 
