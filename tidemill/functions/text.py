@@ -27,11 +27,17 @@ def fmt4(value: Column) -> Column:
     v = value.cast("double")
     size = F.abs(v)
     sign = F.when(v < 0, F.lit("-")).otherwise(F.lit(""))
+    # From 2^39 on the shortest decimal has too few digits, but the fraction is a
+    # multiple of 1/8192, so its four decimals come from exact arithmetic.
+    whole = size.try_cast("bigint")
+    fraction = F.rint((size - whole) * 10000).try_cast("bigint").cast("string")
+    large = F.concat(sign, whole.cast("string"), F.lit("."), F.lpad(fraction, 4, "0"))
     return (
         F.when(v.isNull() | F.isnan(v), F.lit("nan"))
         .when(size == F.lit(float("inf")), F.concat(sign, F.lit("inf")))
         # DecimalFormat drops the one digit left in this range.
         .when((size >= 5e-5) & (size < 1e-4), F.concat(sign, F.lit("0.0001")))
+        .when((size >= float(2**39)) & (size < 9e18), large)
         .otherwise(F.call_function("format_number", v, F.lit("0.0000")))
     )
 

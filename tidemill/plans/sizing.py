@@ -18,8 +18,9 @@ PLAIN_LIMIT = 2_000_000
 # An exact percentile keeps the distinct values of a group, and of many groups at
 # once, in memory.  Groups up to this many rows may.
 PERCENTILE_LIMIT = 100_000
-# Rows a broadcast side may hold (a few dozen MB at most for the tables here).
+# What a broadcast side may hold: rows, and bytes of its (compressed) files.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 16 << 20
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -88,8 +89,9 @@ def drop_scratch(spark: SparkSession) -> int:
 
 
 def hint_if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast of a stored table if it has at most ``limit`` rows."""
-    return F.broadcast(table) if table.count() <= limit else table
+    """Hint a broadcast of a stored table if its rows and its files are few enough."""
+    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return F.broadcast(table) if size <= BROADCAST_BYTES and table.count() <= limit else table
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
