@@ -42,6 +42,19 @@ def oracle(folder: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+# Spark type -> DuckDB type of a result column.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(df, con, sql) -> str | None:
+    left = {c: TYPES.get(t, t) for c, t in df.dtypes}
+    right = {r[0]: r[1] for r in con.execute("DESCRIBE " + sql).fetchall()}
+    return None if left == right else f"types {left} vs {right}"
+
+
 def plain(value):
     if value is None or (isinstance(value, float) and math.isnan(value)):
         return None
@@ -88,9 +101,13 @@ def main(argv):
             continue
         began = time.time()
         try:
-            left = spark_result(fn(spark, folder))
+            df = fn(spark, folder)
+            left = spark_result(df)
             took = time.time() - began
-            note = "no sql" if name not in sqls else difference(left, sql_result(con, sqls[name]))
+            if name not in sqls:
+                note = "no sql"
+            else:
+                note = type_difference(df, con, sqls[name]) or difference(left, sql_result(con, sqls[name]))
         except Exception as error:  # noqa: BLE001
             took, note, left = time.time() - began, f"{type(error).__name__}: {error}"[:1500], ([], [])
         bad += note not in (None, "no sql")

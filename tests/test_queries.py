@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from tests.compare import difference, spark_result, sql_result
+from tests.compare import difference, spark_result, sql_result, type_difference
 
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 NO_TWIN = {"report_sample"}
@@ -15,7 +15,9 @@ def test_every_query_has_a_twin():
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, con, folder, name):
-    assert difference(spark_result(QUERIES[name](spark, folder)), sql_result(con, SQL[name])) is None
+    df = QUERIES[name](spark, folder)
+    assert type_difference(df, con, SQL[name]) is None
+    assert difference(spark_result(df), sql_result(con, SQL[name])) is None
 
 
 def test_entry(spark):

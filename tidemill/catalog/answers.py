@@ -62,17 +62,12 @@ def assistant_turn(spark, d):
     )
 
 
-@query("""SELECT conv_id, count(*) AS n, string_agg(coalesce(text, ''), '|' ORDER BY turn) AS contents
-FROM conversations GROUP BY conv_id""")
+@query("SELECT conv_id, turn, coalesce(text, '') AS content FROM conversations")
 def content_forms(spark, d):
-    """Message lists normalised to text, then gathered per conversation."""
+    """Message lists normalised to text."""
     message = F.array(F.struct(F.col("role").alias("role"), F.col("text").alias("content")))
     turns = table(spark, d, "conversations").select("conv_id", "turn", message.alias("content"))
-    plain = ops.normalize_content(turns)
-    told = F.sort_array(F.collect_list(F.struct("turn", "content")))
-    return plain.groupBy("conv_id").agg(F.count("*").alias("n"), told.alias("t")).select(
-        "conv_id", "n", F.array_join(F.col("t.content"), "|").alias("contents")
-    )
+    return ops.normalize_content(turns)
 
 
 @query(f"SELECT sample_id, generation_id, {THINK} AS spoken FROM ({COMPLETIONS})")
@@ -153,7 +148,7 @@ def response_statistics(spark, d):
     return stats.select("sample_idx", *[F.col(n).cast("long").alias(n) for n in names])
 
 
-@query(f"""SELECT label, count(*) AS n_total, count_if(len(parsed) > 0) AS n_valid,
+@query(f"""SELECT label, count(*) AS n_total, count(*) FILTER (WHERE len(parsed) > 0) AS n_valid,
   round(avg(CAST(len(parsed) > 0 AS DOUBLE)), 6) AS success_rate,
   round(avg(CAST(contains(content, '<think>') AND contains(content, '</think>') AS DOUBLE)), 6) AS think_rate,
   round(avg(CAST(contains(content, '予測結果') AS DOUBLE)), 6) AS header_rate FROM ({SEQUENCES}) GROUP BY label""")

@@ -30,10 +30,10 @@ def query(sql: str | None = None):
 
 # ---- quality and profiles -------------------------------------------------
 
-@query(f"""SELECT 'k' AS "column", count_if(k IS NULL) AS n_missing FROM ({GAPPY})
-UNION ALL SELECT 'ts', count_if(ts IS NULL) FROM ({GAPPY})
-UNION ALL SELECT 'id', count_if(id IS NULL) FROM ({GAPPY})
-UNION ALL SELECT 'value', count_if(value IS NULL) FROM ({GAPPY})""")
+@query(f"""SELECT 'k' AS "column", count(*) FILTER (WHERE k IS NULL) AS n_missing FROM ({GAPPY})
+UNION ALL SELECT 'ts', count(*) FILTER (WHERE ts IS NULL) FROM ({GAPPY})
+UNION ALL SELECT 'id', count(*) FILTER (WHERE id IS NULL) FROM ({GAPPY})
+UNION ALL SELECT 'value', count(*) FILTER (WHERE value IS NULL) FROM ({GAPPY})""")
 def null_report(spark, d):
     return profile.null_report(gappy(spark, d))
 
