@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 PLAIN_LIMIT = 2_000_000
 # An exact percentile keeps the distinct values of a group, and of many groups at
 # once, in memory.  Groups up to this many rows may.
-PERCENTILE_LIMIT = 100_000
+PERCENTILE_LIMIT = 150_000
 # What a broadcast side may hold: rows, and bytes of its (compressed) files.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 16 << 20
