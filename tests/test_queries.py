@@ -5,7 +5,8 @@ import pytest
 import __spark_entry__ as entry
 from tests.compare import difference, spark_result, sql_result, type_difference
 
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES = {name: fn for m in entry.BASE for name, fn in m.QUERIES.items()}
+SQL = {name: sql for m in entry.BASE for name, sql in m.SQL.items()}
 NO_TWIN = {"report_sample"}
 
 
