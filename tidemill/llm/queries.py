@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemill.llm.near_dup import near_duplicates
+from tidemill.llm.quality import quality_scores
+from tidemill.llm.toxicity import toxicity_scores
 
 QUERIES, SQL = {}, {}
 
@@ -26,3 +28,13 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 @query("op2_minhash_near_dedup")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"))
+
+
+@query("op5_toxicity")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query("op7_quality_classifier")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
