@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemill.llm.decontaminate import contamination
 from tidemill.llm.near_dup import near_duplicates
 from tidemill.llm.quality import quality_scores
+from tidemill.llm.substring import dedup_substrings
 from tidemill.llm.toxicity import toxicity_scores
 
 QUERIES, SQL = {}, {}
@@ -38,3 +41,24 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_quality_classifier")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return quality_scores(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
+@query("op3_substring_dedup", r"""WITH units AS (
+  SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos
+  FROM (SELECT doc_id, regexp_extract_all(text, '\n|[^.!?\n]+[.!?]*|[.!?]+') AS parts FROM documents)),
+keyed AS (SELECT *, trim(regexp_replace(lower(part), '[ \t\r\f\v]+', ' ', 'g'), ' ') AS plain FROM units),
+ranked AS (SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 >= 4
+  AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, pos) > 1 AS gone FROM keyed),
+cut AS (SELECT doc_id, sum(length(part)) FILTER (gone) AS removed,
+  coalesce(string_agg(part, '' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM ranked GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(c.removed, 0) AS BIGINT) AS n_removed, md5(coalesce(c.kept, d.text)) AS kept_md5
+FROM documents d LEFT JOIN cut c USING (doc_id)""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    cut = dedup_substrings(_table(spark, folder, "documents"))
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(F.col("row.doc_id").alias("doc_id"), gone.alias("n_removed"), F.md5("kept_text").alias("kept_md5"))
+
+
+@query("op9_benchmark_decontamination")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
