@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from tidemill.llm.decontaminate import contamination
 from tidemill.llm.near_dup import near_duplicates
+from tidemill.llm.packing import packed_documents
 from tidemill.llm.quality import quality_scores
 from tidemill.llm.substring import dedup_substrings
+from tidemill.llm.topk import top_k
 from tidemill.llm.toxicity import toxicity_scores
+from tidemill.llm.warc import archived
 
 QUERIES, SQL = {}, {}
 
@@ -62,3 +65,28 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op9_benchmark_decontamination")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     return contamination(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+@query("op1_exact_top_k", """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS DOUBLE)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+  AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return top_k(_table(spark, folder, "embeddings"))
+
+
+@query("op4_warc", """WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, d AS payload_digest,
+  CASE WHEN n >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND page_id > first THEN first END AS refers_to FROM m""")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    return archived(_table(spark, folder, "pages"))
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return packed_documents(_table(spark, folder, "documents"))
