@@ -10,6 +10,7 @@ from tidemill.llm.near_dup import near_duplicates
 from tidemill.llm.packing import packed_documents
 from tidemill.llm.quality import quality_scores
 from tidemill.llm.substring import dedup_substrings
+from tidemill.llm.suffix import byte_digests
 from tidemill.llm.topk import top_k
 from tidemill.llm.toxicity import toxicity_scores
 from tidemill.llm.warc import archived
@@ -90,3 +91,8 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op10_packing")
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     return packed_documents(_table(spark, folder, "documents"))
+
+
+@query("op6_suffix_array_dedup")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return byte_digests(_table(spark, folder, "documents"))
