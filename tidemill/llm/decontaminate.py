@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.shared import named, slices, text_bytes
-from tidemill.llm.words import PLACE, mix, prefix_sums, spans, word_spans
+from tidemill.llm.words import PLACE, mix, plain_words
 
 #: Which of the following words a seed looks at (1) or ignores (0).
 MASKS = ("11111", "1101011", "11100101", "101100011")
@@ -21,20 +21,6 @@ BLOCK_BYTES = 16_000_000
 _BITS = 22
 
 
-def _hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the words of all texts, and where each text's begin.
-
-    Words are runs of ASCII letters, digits and bytes of other scripts; A-Z and the Latin-1 capitals are lower-cased.
-    """
-    raw = raw.copy()
-    raw[(raw >= 65) & (raw <= 90)] += 32
-    capital = (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97) & (raw[:-1] == 0xC3)
-    raw[1:][capital] += 32
-    letter = ((raw >= 97) & (raw <= 122)) | ((raw >= 48) & (raw <= 57)) | (raw >= 128)
-    start, end, text = word_spans(~letter, offsets)
-    return spans(prefix_sums(raw), start, end), np.searchsorted(text, np.arange(len(offsets)))
-
-
 def _seeds(words: np.ndarray, mask: str, number: int) -> np.ndarray:
     n = len(words) - len(mask) + 1
     if n <= 0:
@@ -51,7 +37,7 @@ class Index:
 
     def __init__(self, ids: list[int], texts: list[str], masks=MASKS):
         raw, offsets = text_bytes(pa.array(texts, pa.string()))
-        self.words, self.first = _hashes(raw, offsets)
+        self.words, self.first = plain_words(raw, offsets)
         self.ids = np.asarray(ids, np.int64)
         self.masks, self.seeds, self.places, self.bits = masks, [], [], []
         long = np.diff(self.first) >= MIN_ITEM
@@ -128,7 +114,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     def passes(index):
         def run(batches):
             for batch in slices(batches):
-                words, first = _hashes(*text_bytes(named(batch, "text")))
+                words, first = plain_words(*text_bytes(named(batch, "text")))
                 found = index.value.overlaps(words, first, window, percent)
                 items = named(batch, "items")
                 if found:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.decontaminate import contamination
+from tidemill.llm.licenses import license_scan
 from tidemill.llm.near_dup import near_duplicates
 from tidemill.llm.packing import packed_documents
 from tidemill.llm.quality import quality_scores
@@ -96,3 +97,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_suffix_array_dedup")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return byte_digests(_table(spark, folder, "documents"))
+
+
+@query("op8_license_scan")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as files: source / language / hundred / id."""
+    docs = _table(spark, folder, "documents").select("doc_id", "text", "source", "lang")
+    path = F.concat_ws("/", "source", "lang", F.floor(F.col("doc_id") / 100).cast("string"), F.col("doc_id").cast("string"))
+    return license_scan(docs, path).select(
+        F.col("row.doc_id").alias("doc_id"), "path", "license", "cosine", "share", "effective", "directory"
+    )

@@ -95,3 +95,23 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     for k in range(n):
         total += words[k: len(words) - n + 1 + k] * PLACE[k]
     return np.unique(mix(total + np.uint64(n)))
+
+
+def plain_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Fingerprint, start, end and text of words without signs, whatever their case.
+
+    Words are runs of ASCII letters, digits and bytes of other scripts; A-Z and the Latin-1 capitals are lower-cased.
+    """
+    raw = raw.copy()
+    raw[(raw >= 65) & (raw <= 90)] += 32
+    capital = (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97) & (raw[:-1] == 0xC3)
+    raw[1:][capital] += 32
+    letter = ((raw >= 97) & (raw <= 122)) | ((raw >= 48) & (raw <= 57)) | (raw >= 128)
+    start, end, text = word_spans(~letter, offsets)
+    return spans(prefix_sums(raw), start, end), start, end, text
+
+
+def plain_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Fingerprints of the plain words of all texts, and where each text's begin."""
+    hashes, _, _, text = plain_spans(raw, offsets)
+    return hashes, np.searchsorted(text, np.arange(len(offsets)))
