@@ -92,7 +92,8 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, column:
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts on end, and the offsets where each begins (one more than texts); null is empty."""
-    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    if not pa.types.is_large_binary(texts.type):
+        texts = pc.fill_null(texts, "").cast(pa.large_string())
     _, offsets, data = texts.buffers()
     at = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8)
     raw = np.frombuffer(data, np.uint8)[at[0]: at[-1]] if data is not None and at[-1] > at[0] else np.zeros(0, np.uint8)

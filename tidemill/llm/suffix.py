@@ -21,7 +21,9 @@ _HIGH, _LOW, _MOST = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF), np.ui
 #: Bits of the table that says which first ranks occur more than once: 8 MB whatever the input.
 _TABLE_BITS = 26
 _LAST = 2**63 - 1
-_SLICE = 4_000_000
+_SLICE = 1_500_000
+#: Runs with one anchor rank that a single task compares; more of them go by the ranks of single windows.
+TOGETHER = 2_000
 
 _RUN = pa.schema([("h", pa.int64()), ("c", pa.int64()), ("doc", pa.int64()), ("at", pa.int64())])
 _RUNS = "h long, c long, doc long, at long"
@@ -169,19 +171,32 @@ def _settled(batches):
         yield _cut_rows(doc[later], start[later], start[later] + (at[later] & 127) + LENGTH)
 
 
+def _opened(batches):
+    """(text slice, places of its open runs, text of each place)."""
+    for batch in slices(batches, _SLICE):
+        places = named(batch, "places")
+        at = np.asarray(places.flatten(), np.int64)
+        yield batch, at, np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(places), np.int64))
+
+
+def _exploded(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every window of the runs ``at``: number of its run, and its place in it."""
+    size = (at & 127) + 1
+    return np.repeat(np.arange(len(at)), size), np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+
+
+_HALF = LENGTH // 2
+
+
 def _windows(batches):
     """The pair of ranks at offset LENGTH / 2 of every window of the open runs: together the rank of the window."""
-    half = LENGTH // 2
-    for batch in slices(batches, _SLICE):
+    for batch, at, text in _opened(batches):
         raw, offsets = text_bytes(named(batch, "text"))
         sums = prefix_sums(raw)
-        places = named(batch, "places")
-        at = np.asarray(places.flatten(), np.int64)
-        text = np.repeat(np.arange(batch.num_rows), np.asarray(pc.list_value_length(places), np.int64))
-        size = (at & 127) + 1
-        text, start = np.repeat(text, size), np.repeat(at >> 14, size) + np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        run, step = _exploded(at)
+        start, text = (at >> 14)[run] + step, text[run]
         i = start + offsets[text]
-        a, b = (spans(sums, i + k, i + k + half).view(np.int64) for k in (0, half))
+        a, b = (spans(sums, i + k, i + k + _HALF).view(np.int64) for k in (0, _HALF))
         doc = named(batch, "key").to_numpy()[text]
         first, later = _later([a, b], doc, start)
         yield rows(_RUN, a[first], b[first], doc[first], start[first])
@@ -189,6 +204,52 @@ def _windows(batches):
             yield _cut_rows(doc[later], start[later], start[later] + LENGTH)
 
 
+_SPAN = pa.schema([("h", pa.int64()), ("doc", pa.int64()), ("at", pa.int64()), ("span", pa.binary())])
+
+
+def _spans(batches):
+    """The bytes of every open run, under the rank of its anchor."""
+    for batch, at, text in _opened(batches):
+        raw, offsets = text_bytes(named(batch, "text"))
+        sums, data = prefix_sums(raw), raw.tobytes()
+        lo = (at >> 14) + offsets[text]
+        anchor = lo + ((at >> 7) & 127)
+        h = spans(sums, anchor, anchor + GRAM).view(np.int64)
+        yield rows(
+            _SPAN, h, named(batch, "key").to_numpy()[text], at,
+            [data[i:j] for i, j in zip(lo.tolist(), (lo + (at & 127) + LENGTH).tolist())],
+        )
+
+
+def _span_cuts(batches):
+    """Windows of runs with one anchor rank: equal halves at an equal place before the anchor make equal windows."""
+    got = pa.Table.from_batches(list(batches), _SPAN)
+    order = np.argsort(np.asarray(got.column("h"), np.int64), kind="stable")
+    h, doc, at = (np.asarray(got.column(c), np.int64)[order] for c in ("h", "doc", "at"))
+    got = got.column("span").take(pa.array(order))
+    edges = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]])) if len(h) else np.zeros(0, np.int64)
+    # Whole groups of about so many runs at once.
+    stops, start = [*edges[np.flatnonzero(np.diff(edges // 8_000)) + 1].tolist(), len(h)], 0
+    for stop in stops:
+        raw, offsets = text_bytes(pc.cast(got.slice(start, stop - start).combine_chunks(), pa.large_binary()))
+        run, step = _exploded(at[start:stop])
+        i = offsets[run] + step
+        sums = prefix_sums(raw)
+        a, b = (spans(sums, i + k, i + k + _HALF) for k in (0, _HALF))
+        a = mix(a + h[start:stop][run].view(np.uint64))
+        by = np.argsort(a, kind="stable")
+        same = np.zeros(len(a), bool)
+        twin = a[by[1:]] == a[by[:-1]]
+        same[by[1:]] |= twin
+        same[by[:-1]] |= twin
+        a, b, run, step = a[same], b[same], run[same], step[same]
+        where, first = doc[start:stop][run], (at[start:stop] >> 14)[run] + step
+        _, later = _later([a, b], where, first)
+        if len(later):
+            yield _cut_rows(where[later], first[later], first[later] + LENGTH)
+        start = stop
+
+
 def _window_cuts(batches):
     h, c, doc, at = _whole(batches)
     cut = at < 0
@@ -253,7 +314,9 @@ def repeats(docs: DataFrame) -> DataFrame:
        unique and done with.
     2. Rank what is left by the bytes of a whole run of windows: runs of equal rank are repeats but for the first.
     3. A first run may still share single windows with runs of other bytes at the same anchor. Where the anchor's
-       rank has several runs, rank the windows by the pair of ranks of their halves.
+       rank has several runs, rank the windows by the pair of ranks of their halves. Up to TOGETHER runs of one
+       anchor rank are compared in one task, from the bytes of the runs; the windows of more frequent ranks are dealt
+       by their own ranks.
     Ranks are fingerprints, so no round needs a global order. Rounds 2 and 3 deal rows by the rank of whole runs or
     windows, and a task sends one row at most per rank and slice of text, so no rank gathers its occurrences in one task.
     """
@@ -265,16 +328,26 @@ def repeats(docs: DataFrame) -> DataFrame:
     ranked = stored(keyed.mapInArrow(_runs(table), _RUNS).repartition(parts, "h", "c").mapInArrow(_settled, _RUNS), "ranked")
     released(spark)
     left = ranked.where("at >= 0")
-    several = stored(left.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h"), "several")
-    opened = stored(left.join(several, "h").groupBy(F.col("doc").alias("_doc")).agg(F.collect_list("at").alias("places")), "opened")
-    some = only_ids(keyed, opened.select("_doc"), "key")
-    windows = some.join(opened, some["key"] == opened["_doc"]).select("key", "text", "places").mapInArrow(_windows, _RUNS)
-    found = windows.repartition(2 * parts, "h", "c").mapInArrow(_window_cuts, _RUNS)
+    several = stored(left.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"), "several")
+    few = F.col("n") <= TOGETHER
+    opened = stored(
+        left.join(several, "h").groupBy(F.col("doc").alias("_doc"))
+        .agg(F.collect_list(F.when(few, F.col("at"))).alias("few"), F.collect_list(F.when(~few, F.col("at"))).alias("many")), "opened",
+    )
+
+    def places(column: str) -> DataFrame:
+        some = opened.where(F.size(column) > 0)
+        return only_ids(keyed, some.select("_doc"), "key").join(some, F.col("key") == F.col("_doc")).select("key", "text", F.col(column).alias("places"))
+
+    found = places("few").mapInArrow(_spans, "h long, doc long, at long, span binary").repartition(parts, "h").mapInArrow(_span_cuts, _RUNS)
+    if not several.where(~few).isEmpty():
+        found = found.union(places("many").mapInArrow(_windows, _RUNS).repartition(2 * parts, "h", "c").mapInArrow(_window_cuts, _RUNS))
     cuts = stored(
         ranked.where("at < 0").union(found).select(F.col("doc").alias("key"), (-1 - F.col("at")).alias("start"), F.col("c").alias("end")), "cuts"
     )
     for old in (ranked, several, opened):
         dropped(old)
+    released(spark)
     return cuts
 
 
