@@ -20,6 +20,8 @@ SKETCH = 64
 SHORT_LIST = 8
 #: Shingles per block of a long list, 8 bytes each.
 BLOCK_SHINGLES = 300_000
+#: Members of such a block.
+BLOCK_MEMBERS = 2_000
 #: Chance of overlooking, by its sketch, a link exactly at the threshold.
 MISS = 1e-9
 
@@ -256,7 +258,7 @@ def _rest(members: DataFrame, roots: DataFrame, texts: DataFrame, size: int, per
         per_list.where((F.col("length") > SHORT_LIST) & (F.col("parts") > 1)).select("value", (-F.col("most.r")).alias("bucket")), "opened"
     )
     inside = stored(at.join(opened, "value").select("bucket", "node", "n", "root").distinct(), "inside")
-    blocks = inside.groupBy("bucket").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).alias("blocks"))
+    blocks = inside.groupBy("bucket").agg(F.ceil(F.greatest(F.sum("n") / BLOCK_SHINGLES, F.count("*") / BLOCK_MEMBERS)).alias("blocks"))
     dealt = inside.join(blocks, "bucket").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     full = dealt.join(texts, dealt.node == texts.doc_id).select("bucket", "block", "node", "root", "text").mapInArrow(
         _sets_of(size), "bucket long, block long, node long, root long, full binary"
