@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import named, slices, text_bytes
+from tidemill.llm.shared import in_batches, named, slices, text_bytes
 from tidemill.llm.words import PLACE, mix, plain_words
 
 #: Which of the following words a seed looks at (1) or ignores (0).
@@ -108,7 +108,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     ids are judged one by one. Empty tables: no rows, or no items.
     """
     spark = docs.sparkSession
-    wide = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", F.array().cast("array<bigint>").alias("items"))
+    wide = in_batches(docs).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", F.array().cast("array<bigint>").alias("items"))
     schema = wide.select("row", "text", "items").schema
 
     def passes(index):

@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import ID_ROWS, named, rows, slices, stored, text_bytes
+from tidemill.llm.shared import ID_ROWS, in_batches, named, rows, slices, stored, text_bytes
 from tidemill.llm.words import plain_spans
 
 #: Cosine from which a line, sentence or file is taken for a licence notice.
@@ -116,7 +116,7 @@ def scanned(files: DataFrame, threshold: float = COSINE) -> DataFrame:
     decides, the first of equal ones. ``share`` is the part of the words that stands in matching units. No match, null
     or empty text: license null, cosine and share 0.
     """
-    wide = files.select(F.struct(*(F.col(f"`{c}`") for c in files.columns)).alias("row"), "text")
+    wide = in_batches(files).select(F.struct(*(F.col(f"`{c}`") for c in files.columns)).alias("row"), "text")
     schema = wide.select("row").schema.add("license", "string").add("cosine", "double").add("share", "double")
     return wide.mapInArrow(_scan(Templates(), threshold, schema), schema)
 

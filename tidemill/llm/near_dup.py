@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.components import components
-from tidemill.llm.shared import dropped, named, only_ids, rows, slices, stored, text_bytes, text_table
+from tidemill.llm.shared import dropped, in_batches, named, only_ids, rows, slices, stored, text_bytes, text_table
 from tidemill.llm.words import shingle_sets
 
 SKETCH = 64
@@ -171,7 +171,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, sketch: i
     """
     share = percent / 100
     sets = stored(
-        text_table(docs).mapInArrow(_sketches(size, sketch), "doc_id long, n_shingles long, set_id binary, sketch array<long>"), "sets"
+        text_table(in_batches(docs)).mapInArrow(_sketches(size, sketch), "doc_id long, n_shingles long, set_id binary, sketch array<long>"), "sets"
     )
     classes = stored(
         sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("set_id")

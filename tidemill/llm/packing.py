@@ -13,7 +13,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import named, rows, slices, text_bytes
+from tidemill.llm.shared import in_batches, named, rows, slices, text_bytes
 from tidemill.llm.words import prefix_sums, space, spans
 
 #: Examples that wait in a task until they are packed, and how many of them stay for a better choice later.
@@ -199,7 +199,7 @@ def _pieces(limits: Limits, ranks: str | None):
                 number += 1
             return rows(_PIECE, *zip(*out)) if out else None
 
-        for batch in slices(batches, 4_000_000):
+        for batch in slices(batches, 1_500_000):
             full = []
             for doc_id, ids in zip(named(batch, "doc_id").to_pylist(), tokeniser.batch(*text_bytes(named(batch, "text")))):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
@@ -231,7 +231,7 @@ def packed_documents(docs: DataFrame, limits: Limits = Limits(), ranks: str | No
     A null or empty text is the end id alone. Null ids are kept; rows that repeat an id are documents of their own.
     Empty table: no rows. Other columns are ignored.
     """
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(
+    return in_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
         _pieces(limits, ranks), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )
 

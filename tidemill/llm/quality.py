@@ -9,13 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import crc_bucket, named, rows, slices, text_bytes
+from tidemill.llm.shared import crc_bucket, in_batches, named, rows, slices, text_bytes
 from tidemill.llm.words import lower_ascii, prefix_sums, space, spans, word_spans
 
 #: Hashed words, factors, and the labelled rows a model is fitted on at most (the first by hash of the id).
 BUCKETS, FACTORS, TRAIN_ROWS = 4096, 8, 12_000
 #: Texts whose dense word counts are held at once.
-ROWS_AT_ONCE = 256
+ROWS_AT_ONCE = 128
 
 _KINDS = [
     lambda b: (b >= 65) & (b <= 90),
@@ -149,6 +149,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, limit
 
 
 def _inputs(docs: DataFrame, *extra) -> DataFrame:
+    in_batches(docs)
     chars = F.col("n_chars") if "n_chars" in docs.columns else F.length("text")
     return docs.select(*extra, "text", F.coalesce(chars.cast("double"), F.lit(0.0)).alias("chars"))
 

@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 
 #: A list of ids is sent to every task only up to this many rows (16 bytes each).
 ID_ROWS = 1_000_000
+#: Rows sent to a Python task at once; texts are long, and a batch is in memory on both sides.
+BATCH_ROWS = 500
 #: Text bytes worked on at once; a longer text is worked on alone.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 500_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -30,6 +32,14 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def in_batches(df: DataFrame) -> DataFrame:
+    """``df``, with the session's Arrow batches brought down to ``BATCH_ROWS`` rows."""
+    conf, name = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(name)) <= BATCH_ROWS:
+        conf.set(name, BATCH_ROWS)
+    return df
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read again: survives lost executors, cuts lineage."""
     spark = df.sparkSession
@@ -88,6 +98,8 @@ def slices(batches: Iterator[pa.RecordBatch], limit: int = SLICE_BYTES, column:
         for stop in [*(np.flatnonzero(np.diff(block)) + 1), batch.num_rows]:
             yield batch.slice(start, stop - start)
             start = stop
+        del batch, texts
+        pa.default_memory_pool().release_unused()
 
 
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

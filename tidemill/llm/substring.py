@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.shared import named, stored
+from tidemill.llm.shared import in_batches, named, stored
 
 #: Every character of a text is in exactly one unit: a line end, or a stretch of a line up to its full stops.
 UNIT = r"\n|[^.!?\n]+[.!?]*|[.!?]+"
@@ -91,7 +91,7 @@ def dedup_substrings(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_
         repeated_units(docs, pattern, min_words).groupBy("id").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("id", "_id"),
         "gone",
     )
-    wide = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", F.coalesce("doc_id", F.lit(_LAST)).alias("_key"))
+    wide = in_batches(docs).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", F.coalesce("doc_id", F.lit(_LAST)).alias("_key"))
     schema = wide.select("row").schema.add("kept_text", "string").add("removed", _SPANS)
     arrow = pa.schema([("row", pa.null()), ("kept_text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
     return wide.join(gone, wide["_key"] == gone["_id"], "left").select("row", "text", "gone").mapInArrow(_cut(pattern, arrow), schema)

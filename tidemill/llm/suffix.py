@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import dropped, named, only_ids, released, rows, slices, stored, text_bytes
+from tidemill.llm.shared import dropped, in_batches, named, only_ids, released, rows, slices, stored, text_bytes
 from tidemill.llm.words import PLACE, mix, prefix_sums, spans
 
 #: Bytes of a repeat, and of the first rank.
@@ -21,7 +21,7 @@ _HIGH, _LOW, _MOST = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF), np.ui
 #: Bits of the table that says which first ranks occur more than once: 8 MB whatever the input.
 _TABLE_BITS = 26
 _LAST = 2**63 - 1
-_SLICE = 1_500_000
+_SLICE = 1_000_000
 #: Runs with one anchor rank that a single task compares; more of them go by the ranks of single windows.
 TOGETHER = 2_000
 
@@ -299,7 +299,7 @@ _APPLIED = pa.schema([
 
 def _keyed(docs: DataFrame) -> DataFrame:
     """(key, text) of the rows searched for repeats: one text per id, the smallest where an id has several."""
-    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"), "text")
+    keyed = in_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"), "text")
     again = keyed.groupBy("key").count().where("count > 1").select("key")
     if again.isEmpty():
         return keyed

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.quality import labelled_sample
-from tidemill.llm.shared import crc_bucket, named, rows, slices
+from tidemill.llm.shared import crc_bucket, in_batches, named, rows, slices
 
 #: Labelled rows a lexicon is learnt from at most, and terms it takes from them at most (the heaviest).
 TRAIN_ROWS, TERMS = 30_000, 2_000
@@ -121,7 +121,7 @@ def fit_lexicon(docs: DataFrame, labels: DataFrame, train=lambda c: F.lit(True),
     A word joins the lexicon if its log odds ratio between toxic and other documents exceeds 1 by more than three
     standard errors; a seed word keeps its own weight until it has such evidence. The counts are a Spark aggregate.
     """
-    sample = labelled_sample(docs, labels, "toxic", train, limit).select("id", "label", "text")
+    sample = labelled_sample(in_batches(docs), labels, "toxic", train, limit).select("id", "label", "text")
     sizes = {r.label: r.n for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     bad, good = sizes.get(1, 0), sizes.get(0, 0)
     lexicon = Lexicon(dict(SEED))

@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import ID_ROWS, named, rows, shared_folder, slices, stored
+from tidemill.llm.shared import ID_ROWS, in_batches, named, rows, shared_folder, slices, stored
 
 #: Equal payloads from this size on are archived once; the others refer to it.
 REVISIT_BYTES = 100
@@ -147,7 +147,7 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
     while an id with that payload exists, and rows that repeat a page_id with one payload are all responses if it is
     the smallest. Empty table: no archives. Other columns are ignored.
     """
-    spark = pages.sparkSession
+    spark = in_batches(pages).sparkSession
     folder = folder or f"{shared_folder(spark)}/warc-{uuid.uuid4().hex}"
     target, root = fs.FileSystem.from_uri(folder)
     target.create_dir(root, recursive=True)
