@@ -14,6 +14,8 @@ UNIT = r"\n|[^.!?\n]+[.!?]*|[.!?]+"
 LINE = r"\n|[^\n]+"
 #: Units of fewer words are never removed.
 MIN_WORDS = 4
+#: First places are sent to every task up to so many (about 60 bytes each); more of them are joined by a shuffle.
+FIRST_ROWS = 500_000
 _LAST = 2**63 - 1
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
@@ -40,7 +42,9 @@ def repeated_units(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_WO
         units.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", "first"),
         "first",
     )
-    # Both sides are plain scans of the join key, so adaptive execution can split a digest met very often.
+    if first.count() <= FIRST_ROWS:
+        first = F.broadcast(first)
+    # Otherwise both sides are plain scans of the join key, so adaptive execution can split a digest met very often.
     return units.join(first, "digest").where(place > F.col("first")).select("id", "pos")
 
 

@@ -163,7 +163,9 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
         "revisit", F.col("refers_to").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("refers_to"))
     )
     start = F.substring("html", 1, SAMPLE_BYTES).alias("html")
-    sample = pages.select("page_id", "url", start).orderBy(F.xxhash64("page_id"), "page_id").limit(SAMPLES).collect()
+    # Ids are chosen first, so that no task sends payloads that are not among the chosen.
+    chosen = pages.select(F.col("page_id").alias("_id")).where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLES)
+    sample = pages.join(F.broadcast(chosen), F.col("page_id") == F.col("_id"), "left_semi").select("page_id", "url", start).limit(2 * SAMPLES).collect()
     texts = [record(r.page_id, r.url, (r.html or "").encode(), "0" * 64) for r in sample]
     manifest = stored(joined.mapInArrow(_writer(folder, trained(texts)), "path string, records long, bytes long"), "manifest")
     return folder, manifest
