@@ -37,8 +37,16 @@ def test_multivariate_target_must_be_complete(spark, tmp_path):
     path.write_text(head + "2016-07-01 00:00:00,1,2,3,4,5,6,30.5\n")
     assert io.read_multivariate_csv(spark, str(path)).first().OT == 30.5
     path.write_text(head + "2016-07-01 00:00:00,1,2,3,4,5,6,\n")
-    with pytest.raises(ValueError):
-        io.read_multivariate_csv(spark, str(path))
+    with pytest.raises(Exception, match="missing values"):
+        io.read_multivariate_csv(spark, str(path)).collect()
+
+
+@pytest.mark.parametrize("text", ["value,timestamp\n1.0,2024-01-01 00:00:00\n", "timestamp,value\nnot a time,1.0\n", "timestamp,value\n2024-01-01 00:00:00,abc\n"])
+def test_wrong_csv_fails_loudly(spark, tmp_path, text):
+    path = tmp_path / "series.csv"
+    path.write_text(text)
+    with pytest.raises(Exception, match="(?i)malformed|header"):
+        io.read_series_csv(spark, str(path)).collect()
 
 
 def test_scale_split_and_parameters(spark, tmp_path):

@@ -185,6 +185,11 @@ def test_score_job(spark):
         [(1, 0, "<think>a</think>10"), (1, 1, "なし"), (2, 0, "5"), (3, 0, "5")],
         "sample_id LONG, generation_id INT, content STRING",
     )
-    rows = jobs.score(told, truth).orderBy("sample_id", "generation_id").collect()
+    train = spark.createDataFrame([("en", "think and other words")], "lang STRING, text STRING")
+    profile = language.language_profile(language.gram_counts(train))
+    rows = jobs.score(told, truth, profile=profile).orderBy("sample_id", "generation_id").collect()
+    assert [r.format_and_language_reward_func for r in rows] == [-3.0, 5.0, -5.0, -5.0]
+    with pytest.raises(Exception, match="language profile"):
+        jobs.score(told, truth).collect()
     assert [r.check_answer for r in rows] == [5.0, -4.5, -4.5, 0.0]
     assert rows[0].advantage == pytest.approx(-rows[1].advantage) and rows[2].advantage == 0.0

@@ -255,9 +255,8 @@ def large_group_advantage(spark, d):
 GRAMS = """SELECT doc_id, lang, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
 FROM (SELECT doc_id, lang, string_split(lower(text), '') AS c FROM documents)"""
 COUNTS = f"SELECT lang, gram, count(*) AS n FROM ({GRAMS}) GROUP BY lang, gram"
-PROFILE = f"""SELECT lang, gram, n, ln((n + 1) / (sum(n) OVER l + 400)) AS log_p, ln(1.0 / (sum(n) OVER l + 400)) AS log_floor
-FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram) AS r FROM ({COUNTS})) WHERE r <= 400
-WINDOW l AS (PARTITION BY lang)"""
+PROFILE = f"""SELECT lang, gram, n, ln((n + 1) / (sum(n) OVER l + count(*) OVER l)) AS log_p, ln(1.0 / (sum(n) OVER l + count(*) OVER l)) AS log_floor
+FROM ({COUNTS}) WINDOW l AS (PARTITION BY lang)"""
 
 
 @query(COUNTS)
@@ -288,3 +287,28 @@ def lang_labels(spark, d):
 def score_job(spark, d):
     scored = jobs.score(completions(spark, d), truths(spark, d), advantage=False)
     return rounded(scored.select("sample_id", "generation_id", "true_value", "reward"), "reward")
+
+
+LABELLED = rf"""WITH profile AS MATERIALIZED ({PROFILE}), floors AS (SELECT lang AS cand, min(log_floor) AS f FROM profile GROUP BY lang),
+told AS (SELECT sample_id, generation_id, content FROM ({COMPLETIONS})),
+grams AS (SELECT sample_id, generation_id, unnest(list_transform(range(1, len(c) - 1), lambda i: c[i] || c[i + 1] || c[i + 2])) AS gram
+  FROM (SELECT *, string_split(lower(content), '') AS c FROM told)),
+scores AS (SELECT g.sample_id, g.generation_id, f.cand, sum(coalesce(p.log_p, f.f)) AS s FROM grams g CROSS JOIN floors f
+  LEFT JOIN profile p ON p.lang = f.cand AND p.gram = g.gram GROUP BY 1, 2, 3),
+best AS (SELECT sample_id, generation_id, cand FROM scores
+  QUALIFY row_number() OVER (PARTITION BY sample_id, generation_id ORDER BY s DESC, cand) = 1),
+letters AS (SELECT *, length(regexp_replace(content, '[^\x{{3040}}-\x{{30ff}}]', '', 'g')) AS kana,
+  length(regexp_replace(content, '[^\x{{3400}}-\x{{4dbf}}\x{{4e00}}-\x{{9fff}}]', '', 'g')) AS han,
+  length(regexp_replace(content, '[^\p{{L}}]', '', 'g')) AS letters FROM told)
+SELECT t.sample_id, t.generation_id, CASE WHEN (kana + han) * 2 > letters THEN CASE WHEN kana * 10 >= kana + han THEN 'ja' ELSE 'zh' END
+  ELSE coalesce(b.cand, 'und') END AS lang FROM letters t LEFT JOIN best b USING (sample_id, generation_id)"""
+
+
+@query(f"""SELECT sample_id, generation_id, lang, CASE lang WHEN 'ja' THEN 5.0 WHEN 'en' THEN -3.0 WHEN 'zh' THEN -3.0 ELSE -5.0 END AS reward
+FROM ({LABELLED})""".replace("5.0 WHEN", "CAST(5.0 AS DOUBLE) WHEN"))
+def score_unlabelled(spark, d):
+    """Completions without a language column, labelled by a profile of the documents."""
+    profile = language.language_profile(language.gram_counts(table(spark, d, "documents")))
+    told = completions(spark, d).drop("lang")
+    scored = jobs.score(told, truths(spark, d), advantage=False, profile=profile, functions=["format_and_language_reward_func"])
+    return scored.select("sample_id", "generation_id", "lang", "reward")

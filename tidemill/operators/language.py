@@ -1,26 +1,32 @@
 """Language labels from character trigram profiles.
 
-A profile is fitted on labelled texts: the most frequent trigrams of each language
-with smoothed log-probabilities.  Texts are labelled by the language under which
-their trigrams are most likely.  Japanese and Chinese are told by their script.
+A profile is fitted on labelled texts: every trigram of each language with its
+smoothed log-probability.  Texts are labelled by the language under which their
+trigrams are most likely.  Texts mostly in Japanese or Chinese letters are told by
+their script.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.wording import UNDETERMINED
-from tidemill.plans.sizing import BROADCAST_ROWS, materialize
+from tidemill.plans.sizing import join_on
 
-TOP_GRAMS = 400
-MAX_LANGUAGES = 400
 KANA = r"[\x{3040}-\x{30ff}]"
 HAN = r"[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}]"
 
 
+def script_label(text: Column) -> Column:
+    """ja or zh if more than half of the letters are kana or Han; Japanese if a tenth of those are kana."""
+    n = lambda pattern: F.regexp_count(text, F.lit(pattern))
+    east = n(KANA) + n(HAN)
+    return F.when(east * 2 > n(r"\p{L}"), F.when(n(KANA) * 10 >= east, "ja").otherwise("zh"))
+
+
 def trigrams(text: Column) -> Column:
     """All overlapping trigrams of the whole, lower-cased text."""
     return F.regexp_extract_all(F.lower(text), F.lit("(?s)(?=(...))"), 1)
@@ -32,15 +38,17 @@ def gram_counts(labelled: DataFrame, text: str = "text", lang: str = "lang") ->
     return grams.groupBy("lang", "gram").agg(F.count("*").alias("n"))
 
 
-def language_profile(counts: DataFrame, top: int = TOP_GRAMS) -> DataFrame:
-    """(lang, gram, n, log_p, log_floor): the ``top`` trigrams of each language.
+def language_profile(counts: DataFrame) -> DataFrame:
+    """(lang, gram, n, log_p, log_floor) of every trigram of each language.
 
     ``log_floor`` is the add-one smoothed log-probability of any other trigram.
     """
-    order = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    best = counts.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= top).drop("__r")
-    total = F.sum("n").over(Window.partitionBy("lang")) + top
-    return best.withColumns({"log_p": F.log((F.col("n") + 1) / total), "log_floor": F.log(F.lit(1.0) / total)})
+    totals = counts.groupBy("lang").agg((F.sum("n") + F.count("*")).alias("__total"))
+    out = join_on(counts, totals, ["lang"])
+    return out.select(
+        "lang", "gram", "n", F.log((F.col("n") + 1) / F.col("__total")).alias("log_p"),
+        F.log(F.lit(1.0) / F.col("__total")).alias("log_floor"),
+    )
 
 
 def label_language(
@@ -52,34 +60,25 @@ def label_language(
 ) -> DataFrame:
     """(id_columns, label) of every text; the id columns must be unique.
 
-    The profile is one row per trigram with one column per language, so a text
-    trigram meets at most one row, and sums collapse before the shuffle.
+    Equal trigrams of a text are combined before they meet the profile, and the
+    gains over the floor are summed per language, so languages are rows, any number
+    of them.  A language that shares no trigram with a text can only win by its
+    floor, so the one with the highest floor stands for all of those.
     """
-    table = materialize(profile)
-    found = table.groupBy("lang").agg(F.min("log_floor").alias("log_floor")).limit(MAX_LANGUAGES + 1).collect()
-    floors = {r["lang"]: r["log_floor"] for r in found}
-    langs = sorted(floors)
-    if len(langs) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages; a profile row has one column per language")
-    wide = table.groupBy("gram").agg(
-        *[F.max(F.when(F.col("lang") == l, F.col("log_p"))).alias(f"p{i}") for i, l in enumerate(langs)]
-    )
-    if table.count() <= BROADCAST_ROWS:
-        wide = F.broadcast(wide)
-
+    ids = list(id_columns)
+    floors = profile.groupBy(F.col("lang").alias("__lang")).agg(F.min("log_floor").alias("floor"))
+    best_floor = floors.orderBy(F.desc("floor"), "__lang").first()
     body = F.col(text)
-    # A number, because sums and maxima of numbers stay in a hash aggregate.
-    script = F.when(body.rlike(KANA), 1).when(body.rlike(HAN), 2)
-    # Per-text work happens before the explode, which else repeats it per trigram.
-    # The outer explode keeps texts without any trigram.
-    cut = df.select(*id_columns, script.alias("__script"), trigrams(body).alias("__grams"))
-    grams = cut.select(*id_columns, "__script", F.explode_outer("__grams").alias("gram"))
-    score = lambda i: F.when(F.col("gram").isNotNull(), F.coalesce(F.col(f"p{i}"), F.lit(floors[langs[i]])))
-    sums = grams.join(wide, "gram", "left").groupBy(*id_columns).agg(
-        F.max("__script").alias("__script"), *[F.sum(score(i)).alias(f"s{i}") for i in range(len(langs))]
+    texts = df.select(*ids, script_label(body).alias("__script"), F.size(trigrams(body)).alias("__size"), trigrams(body).alias("__grams"))
+    grams = texts.select(*ids, "__size", F.explode("__grams").alias("gram")).groupBy(*ids, "__size", "gram").agg(F.count("*").alias("c"))
+    gains = grams.join(profile.select(F.col("lang").alias("__lang"), "gram", (F.col("log_p") - F.col("log_floor")).alias("gain")), "gram")
+    scores = gains.groupBy(*ids, "__size", "__lang").agg(F.sum(F.col("c") * F.col("gain")).alias("gain")).join(floors, "__lang").select(
+        *ids, (-(F.col("gain") + F.col("__size") * F.col("floor"))).alias("cost"), "__lang"
     )
-    # Highest score, then first in code order.
-    ranked = F.sort_array(F.array(*[F.struct((-F.col(f"s{i}")).alias("s"), F.lit(l).alias("l")) for i, l in enumerate(langs)]))
-    guess = F.when(F.col("s0").isNotNull(), ranked[0]["l"]) if langs else F.lit(None).cast("string")
-    by_script = F.when(F.col("__script") == 1, "ja").when(F.col("__script") == 2, "zh")
-    return sums.select(*id_columns, F.coalesce(by_script, guess, F.lit(UNDETERMINED)).alias(label))
+    if best_floor is not None:
+        unmet = texts.where("__size > 0").select(*ids, (F.col("__size") * F.lit(-best_floor["floor"])).alias("cost"), F.lit(best_floor["__lang"]).alias("__lang"))
+        scores = scores.unionByName(unmet)
+    # Lowest cost, then first in code order.
+    guess = scores.groupBy(*ids).agg(F.min(F.struct("cost", "__lang"))["__lang"].alias("__guess"))
+    out = join_on(texts.select(*ids, "__script"), guess, ids, "left")
+    return out.select(*ids, F.coalesce("__script", "__guess", F.lit(UNDETERMINED)).alias(label))

@@ -48,8 +48,10 @@ def group_quantiles(
         out += [low.alias(f"__low{i}"), high.alias(f"__high{i}")]
     sought = F.array(*[f(at(p)) for p in probs for f in (F.floor, F.ceil)])
     picked = ranked.where(F.array_contains(sought, F.col("__rank"))).groupBy(*group, "__n").agg(*out)
-    parts = [
-        F.col(f"__low{i}") + (F.col(f"__high{i}") - F.col(f"__low{i}")) * (at(p) - F.floor(at(p)))
-        for i, p in enumerate(probs)
-    ]
+    # The arithmetic of the built-in, so that both plans give the same doubles.
+    parts = []
+    for i, p in enumerate(probs):
+        low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
+        between = (F.ceil(at(p)) - at(p)) * low + (at(p) - F.floor(at(p))) * high
+        parts.append(F.when((F.floor(at(p)) == F.ceil(at(p))) | (low == high), low).otherwise(between))
     return picked.select(*keys, F.array(*parts).alias("q"))

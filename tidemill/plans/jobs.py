@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.functions import parsing as parse
-from tidemill.operators import clean, completions, metrics, render, scale, split
+from tidemill.functions.wording import UNDETERMINED
+from tidemill.operators import clean, completions, language, metrics, render, scale, split
 from tidemill.operators.index import series_index
 from tidemill.operators.windows import window_counts
 from tidemill.plans.sizing import join_on
@@ -91,13 +92,32 @@ def training_set(samples: DataFrame, keep: Sequence[str] = (), chat: bool = True
     return render.drop_long_prompts(records, length=length) if drop_long else records
 
 
-def score(completion_table: DataFrame, samples: DataFrame, advantage: bool = True, **options) -> DataFrame:
-    """Completions with truth, rewards and group-relative advantage."""
-    joined = completions.join_truth(completions.normalize_content(completion_table), samples)
+def score(completion_table: DataFrame, samples: DataFrame, advantage: bool = True, profile: DataFrame | None = None, **options) -> DataFrame:
+    """Completions with truth, rewards and group-relative advantage.
+
+    Without a language column the contents are labelled: by a trigram ``profile``,
+    or by their script alone, which raises on contents it cannot tell.
+    """
+    told = completions.normalize_content(completion_table)
+    lang, names = options.get("lang", "lang"), options.get("functions")
+    if lang not in told.columns and (names is None or "format_and_language_reward_func" in names):
+        told = label_contents(told, profile, lang)
+    joined = completions.join_truth(told, samples)
     scored = completions.score_completions(joined, **options)
     return completions.group_advantage(scored) if advantage else scored
 
 
+def label_contents(told: DataFrame, profile: DataFrame | None = None, label: str = "lang") -> DataFrame:
+    """Completions with the language of their content."""
+    ids = ["sample_id", "generation_id"]
+    if profile is not None:
+        return join_on(told, language.label_language(told, profile, ids, "content", label), ids, "left")
+    text = F.col("content")
+    none = F.when(text.isNull() | ~text.rlike(r"\p{L}"), F.lit(UNDETERMINED))
+    unknown = F.raise_error(F.lit("contents without a language column need a language profile")).cast("string")
+    return told.withColumn(label, F.coalesce(language.script_label(text), none, unknown))
+
+
 def forecast_frame(rolling: DataFrame, completion_table: DataFrame, on: Sequence[str]) -> DataFrame:
     """Rolling windows with the value parsed from their completion (NULL if none)."""
     responses = completion_table.select(*on, F.col("content").alias("response"))

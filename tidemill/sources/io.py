@@ -22,9 +22,11 @@ CSV_TEXT = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 def read_series_csv(spark: SparkSession, path: str, schema: str | T.StructType = SERIES_SCHEMA) -> DataFrame:
     """Series with a header row and a declared schema.
 
-    Declare the time column as STRING to keep its text unchanged in samples.
+    A header whose names or order differ from the schema, or a cell of another type,
+    is an error when the rows are read.  Declare the time column as STRING to keep
+    its text unchanged in samples.
     """
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return spark.read.schema(schema).options(header=True, enforceSchema=False, mode="FAILFAST").csv(path)
 
 
 def read_multivariate_csv(
@@ -33,10 +35,9 @@ def read_multivariate_csv(
     """Typed multivariate series; a missing target value is an error."""
     df = read_series_csv(spark, path, schema)
     df = df.withColumn(target, F.col(target).cast("double"))
-    n = df.agg(F.count_if(missing(df, target))).first()[0]
-    if n:
-        raise ValueError(f"column {target} has {n} missing values")
-    return df
+    # Checked as the rows are read, so the file is read once.
+    none = F.raise_error(F.lit(f"column {target} has missing values")).cast("double")
+    return df.withColumn(target, F.when(missing(df, target), none).otherwise(F.col(target)))
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
