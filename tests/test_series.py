@@ -226,3 +226,21 @@ def test_long_prompts(spark):
     assert render.drop_long_prompts(df).count() == 10
     assert render.drop_long_prompts(df, length="id").count() == 10
     assert render.drop_long_prompts(df, quantile=0.55).count() == 6
+
+
+def test_head_cuts_the_first_windows_only(spark):
+    rows = [(k, i, float(i)) for k, n in (("a", 60), ("b", 13), ("c", 5)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k STRING, ts INT, value DOUBLE")
+    cut = lambda **more: {tuple(r) for r in windows.strided_windows(df, 6, 4, ["ts"], ["k"], 3, ["value"], **more).selectExpr("k", "start", "ordinal", "cast(input_value as string)", "cast(target_value as string)").collect()}
+    whole = cut()
+    for n in (0, 1, 2, 5, 99):
+        assert cut(head=n) == {r for r in whole if r[2] < n}
+
+
+def test_purge_by_stride_equals_purge_by_search(spark):
+    rows = [(k, i, float(i)) for k, n in (("a", 60), ("b", 13), ("c", 10)) for i in range(n)]
+    df = spark.createDataFrame(rows, "k STRING, ts INT, value DOUBLE")
+    cut = windows.strided_windows(df, 6, 4, ["ts"], ["k"], 3, ["value"]).select("k", "start", "ordinal")
+    for ratio in (0.0, 0.5, 0.8, 1.0):
+        one, two = ({tuple(r) for r in split.ratio_split(cut, ratio, keys=["k"], purge=True, window=10, stride=s).collect()} for s in (None, 3))
+        assert one == two

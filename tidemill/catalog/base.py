@@ -44,7 +44,7 @@ SERIES = "SELECT event_type AS k, ts, event_id AS id, value FROM events"
 GAPPY = "SELECT event_type AS k, ts, event_id AS id, CASE WHEN value >= 10 THEN value END AS value FROM events"
 POSITIONS = f"""SELECT *, row_number() OVER (PARTITION BY k ORDER BY ts, id) - 1 AS pos,
   count(*) OVER (PARTITION BY k) AS n FROM ({SERIES})"""
-TEXT_TIME = "strftime(ts, '%Y-%m-%d %H:%M:%S')"
+TEXT_TIME = r"regexp_replace(strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), '\.000000$', '')"
 TEXT_VALUE = "printf('%.4f', value)"
 SCALED = f"""SELECT k, ts, id, (value - min(value) OVER (PARTITION BY k))
   / (max(value) OVER (PARTITION BY k) - min(value) OVER (PARTITION BY k)) AS value FROM ({SERIES})"""

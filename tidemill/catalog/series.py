@@ -305,8 +305,9 @@ _WINDOWS = windows_sql(10, 2, 1, x=TEXT_VALUE)
 _SIZED = f"SELECT k, start, start AS ordinal, count(*) OVER (PARTITION BY k) AS m FROM ({_WINDOWS})"
 
 
-def _samples(spark, d):
-    return windows.strided_windows(series(spark, d), 10, 2, ORDER, KEYS, columns=["value"]).select("k", "start", "ordinal")
+def _samples(spark, d, head=None):
+    cut = windows.strided_windows(series(spark, d), 10, 2, ORDER, KEYS, columns=["value"], head=head)
+    return cut.select("k", "start", "ordinal")
 
 
 @query(f"SELECT k, start, ordinal, CASE WHEN ordinal < floor(m * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM ({_SIZED})")
@@ -317,7 +318,7 @@ def ratio_split(spark, d):
 @query(f"""SELECT k, start, ordinal, CASE WHEN ordinal < floor(m * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM ({_SIZED})
 WHERE ordinal >= floor(m * CAST(0.8 AS DOUBLE)) OR start + 12 <= floor(m * CAST(0.8 AS DOUBLE))""")
 def ratio_split_purged(spark, d):
-    return split.ratio_split(_samples(spark, d), 0.8, keys=KEYS, purge=True, window=12)
+    return split.ratio_split(_samples(spark, d), 0.8, keys=KEYS, purge=True, window=12, stride=1)
 
 
 @query(f"""SELECT k, CAST(length AS INTEGER) AS length, CASE WHEN n >= length + 1 THEN n - length ELSE 0 END AS n_windows
@@ -333,15 +334,14 @@ def first_middle_last(spark, d):
 
 @query(f"SELECT k, start, ordinal FROM ({_SIZED}) WHERE ordinal IN (0, 26, 51)")
 def fixed_picks(spark, d):
-    return split.pick(_samples(spark, d), [0, 26, 51])
+    return split.pick(_samples(spark, d, head=52), [0, 26, 51])
 
 
 @query(f"SELECT k, start, ordinal FROM ({_SIZED}) WHERE ordinal < 5")
 def head_samples(spark, d):
-    return split.head(_samples(spark, d), 5)
+    return split.head(_samples(spark, d, head=5), 5)
 
 
-@query()
+@query(f"SELECT k, id, value FROM ({SERIES}) ORDER BY md5(k || '|' || id || '|42'), k, id LIMIT 100")
 def report_sample(spark, d):
-    """Top-k by hash; the hash is Spark's own, so there is no SQL twin."""
     return split.report_sample(series(spark, d).drop("ts"), ["k", "id"])

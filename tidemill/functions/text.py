@@ -75,8 +75,8 @@ def strip(text: Column) -> Column:
 
 
 def time_text(ts: Column, is_text: bool, pattern: str = "yyyy-MM-dd HH:mm:ss") -> Column:
-    """Time as printed in samples; text columns (raw CSV) pass through unchanged."""
-    out = ts if is_text else F.date_format(ts, pattern)
+    """Time as printed in samples, with its six-digit fraction if it has one; text columns (raw CSV) pass through unchanged."""
+    out = ts if is_text else F.regexp_replace(F.date_format(ts, pattern + ".SSSSSS"), r"\.000000$", "")
     return F.coalesce(out, F.lit("NaT"))
 
 

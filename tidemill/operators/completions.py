@@ -84,14 +84,18 @@ def join_truth(
     generation: str = "generation_id",
     columns: Sequence[str] = ("true_value",),
     limit: int = PLAIN_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
-    """Left join of completions to one row per sample.
+    """Left join of completions to one row per sample; a sample with several rows is an error.
 
     If some sample has more than ``limit`` completions, they are spread over blocks
     of consecutive generations and the sample is copied to each of its blocks.
+    ``largest`` is the size of the largest sample if it is known.
     """
-    truth = samples.select(on, *columns)
-    if largest_group(completions, [on]) <= limit:
+    once = samples.groupBy(on).agg(F.count("*").alias("__rows"), *[F.first(c).alias(c) for c in columns])
+    several = F.raise_error(F.concat(F.lit("several rows for sample "), F.col(on).cast("string")))
+    truth = once.select(on, *[F.when(F.col("__rows") == 1, F.col(c)).otherwise(several).alias(c) for c in columns])
+    if (largest_group(completions, [on]) if largest is None else largest) <= limit:
         return join_on(completions, truth, [on], "left")
     blocks = completions.withColumn("__block", F.floor(F.col(generation) / GROUP_ROWS))
     used = blocks.groupBy(on, "__block").agg(F.lit(1).alias("__used")).drop("__used")
@@ -163,17 +167,19 @@ def group_advantage(
     whiten: bool = True,
     eps: float = 1e-4,
     limit: int = PLAIN_LIMIT,
+    largest: int | None = None,
 ) -> DataFrame:
     """``advantage``: reward centred and scaled within the generations of a sample.
 
-    Samples with at most ``limit`` generations are one window group.  Otherwise
+    Samples with at most ``limit`` generations (``largest``, if it is known) are one
+    window group.  Otherwise
     moments are taken per block of consecutive generations, merged per sample, and
     joined back by block, so that no task sees a whole oversized group.
     """
     center = F.col("__mean") if normalize else F.lit(0.0)
     spread = F.col("__std") + eps if whiten else F.lit(1.0)
     advantage = (F.col(reward) - center) / spread
-    if largest_group(df, [on]) <= limit:
+    if (largest_group(df, [on]) if largest is None else largest) <= limit:
         group = Window.partitionBy(on)
         # A single generation has no spread.
         return (

@@ -36,12 +36,14 @@ def ratio_split(
     window: int | None = None,
     start: str = "start",
     sizes: DataFrame | None = None,
+    stride: int | None = None,
 ) -> DataFrame:
     """First ``int(n * train_ratio)`` samples are train, the rest val.
 
     ``purge=True`` also drops train windows that reach into the first val window;
     it needs the window length in rows.  ``sizes`` gives the sample counts (keys, n)
-    if they are known, which saves counting the samples.
+    if they are known, which saves counting the samples; ``stride`` gives the first
+    val window without looking for it.
     """
     sized = with_series_size(df, keys, sizes)
     cut = F.floor(F.col("__n") * F.lit(float(train_ratio)))
@@ -49,8 +51,11 @@ def ratio_split(
     if purge:
         if window is None:
             raise ValueError("purge needs the window length")
-        firsts = out.where(F.col("split") == "val").groupBy(*keys).agg(F.min(start).alias("__cut"))
-        out = attach(out, firsts, keys)
+        if stride is None:
+            firsts = out.where(F.col("split") == "val").groupBy(*keys).agg(F.min(start).alias("__cut"))
+            out = attach(out, firsts, keys)
+        else:
+            out = out.withColumn("__cut", F.when(cut < F.col("__n"), F.greatest(cut, F.lit(0)) * stride))
         overlaps = (F.col("split") == "train") & (F.col(start) + window > F.col("__cut"))
         out = out.where(~F.coalesce(overlaps, F.lit(False))).drop("__cut")
     return out.drop("__n")
@@ -76,6 +81,7 @@ def head(df: DataFrame, n: int, ordinal: str = "ordinal") -> DataFrame:
 
 
 def report_sample(df: DataFrame, id_columns: Sequence[str], n: int = 100, seed: int = 42) -> DataFrame:
-    """At most ``n`` rows, repeatable, in id order (a top-k by hash, not a sort)."""
-    chosen = df.orderBy(F.xxhash64(*[F.col(c) for c in id_columns], F.lit(seed)), *id_columns).limit(n)
+    """At most ``n`` rows, repeatable, in id order (a top-k by the MD5 of ids and seed, not a sort)."""
+    mark = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in id_columns], F.lit(str(seed))))
+    chosen = df.orderBy(mark, *id_columns).limit(n)
     return chosen.orderBy(*id_columns)

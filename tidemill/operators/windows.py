@@ -38,9 +38,13 @@ def strided_windows(
     plain_limit: int = PLAIN_LIMIT,
     chunk_rows: int | None = None,
     partitions: int | None = None,
+    head: int | None = None,
 ) -> DataFrame:
     """One row per window start 0, s, 2s … with start + length + horizon <= rows.
 
+    ``head=n`` cuts only the first ``n`` windows of each series; rows beyond them are
+    filtered by position before they are shuffled to chunks.
+
     Output: keys, ``start``, ``ordinal`` (start / stride), per column ``input_<c>``
     and ``target_<c>`` arrays, and each column of ``first`` at the window's first
     row.  ``pos`` names an existing dense position; otherwise one is computed.
@@ -69,6 +73,9 @@ def strided_windows(
             spread = strategy == "plain" and groups < 4 * shuffle_partitions(df.sparkSession)
         df = series_index(df, order_by, keys, "__pos", strategy, partitions, plain_limit)
         pos = "__pos"
+    if head is not None:
+        # What is left is a dense prefix that holds the wanted windows and no other.
+        df = df.where(F.col(pos) < ((head - 1) * stride + window if head > 0 else 0))
 
     home = whole(F.col(pos), size)
     borrowed = (F.pmod(F.col(pos), F.lit(size)) < window - 1) & (home > 0)

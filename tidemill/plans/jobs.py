@@ -11,8 +11,8 @@ from tidemill.functions import parsing as parse
 from tidemill.functions.wording import UNDETERMINED
 from tidemill.operators import clean, completions, language, metrics, render, scale, split
 from tidemill.operators.index import series_index
-from tidemill.operators.windows import window_counts
-from tidemill.plans.sizing import join_on
+from tidemill.operators.windows import default_stride, window_counts
+from tidemill.plans.sizing import join_on, largest_group
 from tidemill.sources import io
 
 
@@ -82,7 +82,8 @@ def build_dataset(
     """Samples with their train/val split; sample counts follow from row counts."""
     samples = render.build_samples(df, length, horizon, order_by, keys, stride, **options)
     sizes = window_counts(df, length, horizon, stride, keys)
-    return split.ratio_split(samples, train_ratio, keys=keys, purge=purge, window=length + horizon, sizes=sizes)
+    step = default_stride(horizon) if stride is None else stride
+    return split.ratio_split(samples, train_ratio, keys=keys, purge=purge, window=length + horizon, sizes=sizes, stride=step)
 
 
 def training_set(samples: DataFrame, keep: Sequence[str] = (), chat: bool = True, drop_long: bool = True, length: str | None = None) -> DataFrame:
@@ -102,9 +103,11 @@ def score(completion_table: DataFrame, samples: DataFrame, advantage: bool = Tru
     lang, names = options.get("lang", "lang"), options.get("functions")
     if lang not in told.columns and (names is None or "format_and_language_reward_func" in names):
         told = label_contents(told, profile, lang)
-    joined = completions.join_truth(told, samples)
+    # Truths are one row per sample, so the join leaves the group sizes as they are.
+    largest = largest_group(completion_table, ["sample_id"])
+    joined = completions.join_truth(told, samples, largest=largest)
     scored = completions.score_completions(joined, **options)
-    return completions.group_advantage(scored) if advantage else scored
+    return completions.group_advantage(scored, largest=largest) if advantage else scored
 
 
 def label_contents(told: DataFrame, profile: DataFrame | None = None, label: str = "lang") -> DataFrame:
