@@ -95,9 +95,11 @@ def dedup_substrings(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_
         repeated_units(docs, pattern, min_words).groupBy("id").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("id", "_id"),
         "gone",
     )
-    wide = in_batches(docs).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", F.coalesce("doc_id", F.lit(_LAST)).alias("_key"))
+    wide = in_batches(docs).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce("doc_id", F.lit(_LAST)).alias("_key"))
     schema = wide.select("row").schema.add("kept_text", "string").add("removed", _SPANS)
     arrow = pa.schema([("row", pa.null()), ("kept_text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
-    return wide.join(gone, wide["_key"] == gone["_id"], "left").select("row", "text", "gone").mapInArrow(_cut(pattern, arrow), schema)
+    # ``gone`` grows with the documents, so it is never broadcast; the text crosses the shuffle once, inside ``row``.
+    met = wide.join(gone.hint("merge"), wide["_key"] == gone["_id"], "left")
+    return met.select("row", F.col("row")["text"].alias("text"), "gone").mapInArrow(_cut(pattern, arrow), schema)
 
 
