@@ -11,6 +11,7 @@ import pytest
 
 from tests.compare import difference, oracle, spark_result, sql_result, type_difference
 from tidemill.llm import near_dup, suffix
+from tidemill.llm.components import components
 from tidemill.llm.decontaminate import contaminated, contamination
 from tidemill.llm.licenses import license_scan
 from tidemill.llm.near_dup import near_duplicates
@@ -99,6 +100,18 @@ def test_near_copies_of_one_text_in_long_lists(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs)
 
 
+def test_links_that_no_leader_finds(spark, monkeypatch):
+    """Windows over one long text: neighbours are linked, and most are far from the leader of their list."""
+    calls = []
+    monkeypatch.setattr(near_dup, "SHORT_LIST", 2)
+    monkeypatch.setattr(near_dup, "components", lambda links: calls.append(links.columns) or components(links))
+    text, ids = words(400, 6), [int(x) for x in np.random.default_rng(7).permutation(60)]
+    docs = {i: " ".join(text[5 * k: 5 * k + 100]) for k, i in enumerate(ids)}
+    got = near_duplicates(spark.createDataFrame(list(docs.items()), "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_components(docs)
+    assert calls == [["a", "b"]] * 2
+
+
 def test_near_duplicates_of_awkward_rows(awkward):
     rows = near_duplicates(awkward).collect()
     got = collections.defaultdict(set)

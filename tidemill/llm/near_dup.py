@@ -187,7 +187,7 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, sketch: i
     dropped(members)
     dropped(texts)
     if not more.isEmpty():
-        roots = components(found.union(more))
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
     labels = stored(
         classes.select("set_id", "node").join(roots, "node", "left").select("set_id", F.coalesce("root", "node").alias("root")), "labels"
     )
