@@ -153,6 +153,15 @@ def test_repeated_bytes_of_awkward_rows(awkward):
     assert rows[9][0].n_removed == 4999 and rows[9][0].n_spans == 1 and rows[5][0].n_bytes == 0
 
 
+def test_every_text_of_a_repeated_or_null_id_is_searched(spark):
+    a, b, c, d, e = (" ".join(words(40, k)) for k in range(20, 25))
+    texts = [(1, a), (2, b), (2, f"{c} {a}"), (2, f"{c} {a}"), (None, f"{d} {b}"), (None, f"{e} {d}"), (2**63 - 1, e), (3, c)]
+    got = {(r.row.doc_id, r.row.text): bytes(r.kept).decode() for r in suffix.dedup_bytes(spark.createDataFrame(texts, "doc_id long, text string")).collect()}
+    assert got[1, a] == a and got[2, b] == b and got[2, f"{c} {a}"].strip() == c and got[3, c] == "" and got[2**63 - 1, e] == e
+    nulls = sorted((got[None, f"{d} {b}"].strip(), got[None, f"{e} {d}"].strip()))
+    assert nulls in (sorted((d, "")), sorted(("", d)))
+
+
 def test_substrings_of_awkward_rows(awkward):
     rows = collections.defaultdict(list)
     for r in dedup_substrings(awkward).collect():

@@ -19,6 +19,8 @@ ID_ROWS = 1_000_000
 BATCH_ROWS = 500
 #: Text bytes worked on at once; a longer text is worked on alone.
 SLICE_BYTES = 500_000
+#: Key of a row without an id where no id repeats.
+LAST_KEY = 2**63 - 1
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -77,6 +79,32 @@ def only_ids(df: DataFrame, ids: DataFrame, column: str, anti: bool = False) ->
     return df.join(ids, df[column] == F.col("_id"), "left_anti" if anti else "left_semi")
 
 
+_IDENTITY = {
+    "_none": "doc_id IS NULL", "_id": "coalesce(CAST(doc_id AS BIGINT), 0)", "_digest": "unhex(md5(coalesce(text, '')))",
+}
+
+
+def row_keys(docs: DataFrame) -> DataFrame | None:
+    """Stored ``(_none, _id, _digest, _n, _key)``: a key for each pair of id and text and its number of rows.
+
+    Keys rise with the id, null ids last, and among texts of one id with their digest, so every text has a place of
+    its own. Rows equal in both share a key. None: no id occurs twice, so ids serve as keys.
+    """
+    ids = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_KEY)).alias("_id"))
+    if ids.groupBy("_id").count().where("count > 1").isEmpty():
+        return None
+    pairs = docs.select(*(F.expr(e).alias(c) for c, e in _IDENTITY.items())).groupBy(*_IDENTITY).agg(F.count("*").alias("_n"))
+    # Partitions of a sorted table follow each other, and so do the numbers that they give to their rows.
+    return stored(pairs.orderBy(*_IDENTITY).withColumn("_key", F.monotonically_increasing_id()), "keys")
+
+
+def with_keys(docs: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """``docs`` with ``_key``, and ``_n`` rows of that key, by the ``keys`` of ``row_keys``."""
+    if keys is None:
+        return docs.withColumn("_n", F.lit(1).cast("long")).withColumn("_key", F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_KEY)))
+    return docs.select("*", *(F.expr(e).alias(c) for c, e in _IDENTITY.items())).join(keys, [*_IDENTITY]).drop(*_IDENTITY)
+
+
 def text_table(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id`` and ``text`` (and more), whatever other columns there are."""
     return docs.select(*(F.col(c) for c in ("doc_id", "text", *columns)))

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import dropped, in_batches, named, only_ids, released, rows, slices, stored, text_bytes
+from tidemill.llm.shared import dropped, in_batches, named, only_ids, released, row_keys, rows, slices, stored, text_bytes, with_keys
 from tidemill.llm.words import PLACE, mix, prefix_sums, spans
 
 #: Bytes of a repeat, and of the first rank.
@@ -20,7 +20,6 @@ _REACH = LENGTH - GRAM + 1
 _HIGH, _LOW, _MOST = np.uint64(0xFFFFFFFF00000000), np.uint64(0xFFFFFFFF), np.uint64(2**64 - 1)
 #: Bits of the table that says which first ranks occur more than once: 8 MB whatever the input.
 _TABLE_BITS = 26
-_LAST = 2**63 - 1
 _SLICE = 1_000_000
 #: Runs with one anchor rank that a single task compares; more of them go by the ranks of single windows.
 TOGETHER = 2_000
@@ -297,18 +296,17 @@ _APPLIED = pa.schema([
 ])
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(key, text) of the rows searched for repeats: one text per id, the smallest where an id has several."""
-    keyed = in_batches(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("key"), "text")
-    again = keyed.groupBy("key").count().where("count > 1").select("key")
-    if again.isEmpty():
-        return keyed
-    again = stored(again, "again")
-    return only_ids(keyed, again, "key", anti=True).union(only_ids(keyed, again, "key").groupBy("key").agg(F.min("text").alias("text")))
+def _keyed(docs: DataFrame, keys: DataFrame | None) -> DataFrame:
+    """(key, text) of every text searched for repeats; rows with equal ids and texts give one."""
+    keyed = with_keys(in_batches(docs), keys).select(F.col("_key").alias("key"), "text", "_n")
+    if keys is None:
+        return keyed.select("key", "text")
+    again = keyed.where("_n > 1").groupBy("key").agg(F.min("text").alias("text"))
+    return stored(keyed.where("_n = 1").select("key", "text").union(again), "keyed")
 
 
-def repeats(docs: DataFrame) -> DataFrame:
-    """Stored ``(key, start, end)``: byte intervals to remove, by the rounds below.
+def repeats(keyed: DataFrame) -> DataFrame:
+    """``(key, text)`` with distinct keys -> stored ``(key, start, end)``: byte intervals to remove, by the rounds below.
 
     1. Rank the GRAM-byte strings at the anchors; the windows of an anchor whose rank is unique are
        unique and done with.
@@ -320,8 +318,7 @@ def repeats(docs: DataFrame) -> DataFrame:
     Ranks are fingerprints, so no round needs a global order. Rounds 2 and 3 deal rows by the rank of whole runs or
     windows, and a task sends one row at most per rank and slice of text, so no rank gathers its occurrences in one task.
     """
-    spark = docs.sparkSession
-    keyed = _keyed(docs)
+    spark = keyed.sparkSession
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * keyed.rdd.getNumPartitions())
     table = spark.sparkContext.broadcast(_table(keyed))
     released(spark)
@@ -358,25 +355,22 @@ def dedup_bytes(docs: DataFrame) -> DataFrame:
     earlier: in a smaller id, or before in the same text. Strings overlap, never cross documents, and are judged on
     the input. ``removed`` holds the maximal (start, end) runs, ``kept`` the other bytes.
 
-    A null text is empty. Rows with a null id rank last. Where rows repeat an id, the smallest text stands for it:
-    rows with that text are all cut alike, other texts of the id are neither searched nor cut. Empty table: no rows.
+    A null text is empty. Rows with a null id rank last. Every text is searched and cut: texts that share an id, or
+    have none, are documents of their own, ranked by digest. Only rows equal in id and text count as one document and
+    are cut alike. Empty table: no rows.
     """
-    wide = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "text", F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_key")
-    )
+    keys = row_keys(docs)
+    keyed = _keyed(docs, keys)
+    cuts = repeats(keyed)
+    if keys is not None:
+        dropped(keyed)
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    wide = with_keys(docs, keys).select(row, "text", "_key")
     schema = wide.select("row").schema
     for name, kind in (("n_bytes", "bigint"), ("n_removed", "bigint"), ("removed", "array<struct<start:bigint,end:bigint>>"), ("kept", "binary"), ("kept_sha256", "string")):
         schema = schema.add(name, wide.select(F.lit(None).cast(kind).alias("x")).schema["x"].dataType)
-    cuts = repeats(docs)
-    searched = _keyed(docs)
     per = cuts.groupBy("key").agg(F.collect_list(F.struct("start", "end")).alias("cuts"))
     joined = wide.join(per, wide["_key"] == per["key"], "left")
-    again = docs.groupBy(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("k")).count().where("count > 1")
-    if not again.isEmpty():
-        own = only_ids(searched, again.select("k"), "key").select(F.col("key").alias("k"), F.col("text").alias("_own"))
-        joined = joined.join(own, joined["_key"] == own["k"], "left").withColumn(
-            "cuts", F.when(F.col("k").isNull() | F.col("text").eqNullSafe(F.col("_own")), F.col("cuts"))
-        )
     return joined.select("row", "text", "cuts").mapInArrow(_applied(_APPLIED), schema)
 
 
