@@ -172,6 +172,16 @@ def test_substrings_of_awkward_rows(awkward):
     assert (span.start, span.end) == (0, len(rows[3][0].row.text))
 
 
+def test_units_of_one_id_or_none_are_cut_in_their_own_row_only(spark):
+    a, b, c, d = (f"This is the sentence of kind {k} here." for k in "abcd")
+    texts = [(1, a), (None, a), (None, b), (None, c + "\n" + d), (None, d), (2, a + "\n" + b), (2, c), (2, c)]
+    rows = dedup_substrings(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    got = {(r.row.doc_id, r.row.text): r.kept_text.strip() for r in rows}
+    assert len(rows) == 8 and got[1, a] == a and got[2, a + "\n" + b] == b and got[2, c] == c
+    assert got[None, a] == "" and got[None, b] == ""
+    assert sorted((got[None, c + "\n" + d], got[None, d])) == ["", d]
+
+
 def test_passage_inside_lines_is_cut_with_offsets(spark):
     passage = "Here is one sentence of a passage. And here is the next one of it."
     docs = spark.createDataFrame([(1, "Intro words. " + passage), (2, "Other lead\n" + passage + " The end is new here.")], "doc_id long, text string")

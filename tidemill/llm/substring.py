@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.shared import in_batches, named, stored
+from tidemill.llm.shared import in_batches, named, row_keys, stored, with_keys
 
 #: Every character of a text is in exactly one unit: a line end, or a stretch of a line up to its full stops.
 UNIT = r"\n|[^.!?\n]+[.!?]*|[.!?]+"
@@ -16,7 +16,6 @@ LINE = r"\n|[^\n]+"
 MIN_WORDS = 4
 #: First places are sent to every task up to so many (about 60 bytes each); more of them are joined by a shuffle.
 FIRST_ROWS = 500_000
-_LAST = 2**63 - 1
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 
 
@@ -26,18 +25,18 @@ def normalised(unit: Column) -> Column:
 
 
 def _units(docs: DataFrame, pattern: str, min_words: int) -> DataFrame:
-    """(id, pos, start, size, digest): units with words enough, where they start, in characters."""
+    """(key, pos, digest): units with words enough, of texts with their ``_key``."""
     parts = F.regexp_extract_all("text", F.lit(pattern), F.lit(0))
-    sized = docs.where("text IS NOT NULL").select(F.coalesce("doc_id", F.lit(_LAST)).alias("id"), parts.alias("parts"))
-    cells = sized.select("id", F.posexplode("parts").alias("pos", "unit")).withColumn("unit", normalised("unit"))
+    sized = docs.where("text IS NOT NULL").select(F.col("_key").alias("key"), parts.alias("parts"))
+    cells = sized.select("key", F.posexplode("parts").alias("pos", "unit")).withColumn("unit", normalised("unit"))
     words = F.length("unit") - F.length(F.replace("unit", F.lit(" "), F.lit(""))) + 1
-    return cells.where(words >= min_words).select("id", F.col("pos").cast("long"), F.unhex(F.md5("unit")).alias("digest"))
+    return cells.where(words >= min_words).select("key", F.col("pos").cast("long"), F.unhex(F.md5("unit")).alias("digest"))
 
 
-def repeated_units(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_WORDS) -> DataFrame:
-    """``(id, pos)`` of every unit whose digest also occurs earlier: in a smaller id, or before in the same text."""
-    units = _units(docs, pattern, min_words)
-    place = F.struct("id", "pos")
+def repeated_units(keyed: DataFrame, pattern: str = UNIT, min_words: int = MIN_WORDS) -> DataFrame:
+    """``(key, pos)`` of every unit whose digest also occurs earlier: under a smaller ``_key``, or before in the same text."""
+    units = _units(keyed, pattern, min_words)
+    place = F.struct("key", "pos")
     first = stored(
         units.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", "first"),
         "first",
@@ -45,7 +44,7 @@ def repeated_units(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_WO
     if first.count() <= FIRST_ROWS:
         first = F.broadcast(first)
     # Otherwise both sides are plain scans of the join key, so adaptive execution can split a digest met very often.
-    return units.join(first, "digest").where(place > F.col("first")).select("id", "pos")
+    return units.join(first, "digest").where(place > F.col("first")).select("key", "pos")
 
 
 def _cut(pattern: str, schema: pa.Schema):
@@ -88,14 +87,17 @@ def dedup_substrings(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_
     normalisation by its 128-bit digest. Over all documents the occurrence with the smallest (doc_id, position)
     stays; the others go. ``removed`` holds (start, end) in characters of the original text, joined where they touch.
 
-    A null text stays null, an empty one empty. Rows with a null id rank last, as one document. Rows that repeat an
-    id count as the same document and are cut alike. Empty table: no rows. Other columns stay in ``row``.
+    A null text stays null, an empty one empty. Rows with a null id rank last. Texts that share an id, or have none,
+    are documents of their own, ranked by digest; only rows equal in id and text count as one document and are cut
+    alike. Empty table: no rows. Other columns stay in ``row``.
     """
+    keys = row_keys(docs)
+    keyed = with_keys(in_batches(docs), keys)
     gone = stored(
-        repeated_units(docs, pattern, min_words).groupBy("id").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("id", "_id"),
+        repeated_units(keyed, pattern, min_words).groupBy("key").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("key", "_id"),
         "gone",
     )
-    wide = in_batches(docs).select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.coalesce("doc_id", F.lit(_LAST)).alias("_key"))
+    wide = keyed.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "_key")
     schema = wide.select("row").schema.add("kept_text", "string").add("removed", _SPANS)
     arrow = pa.schema([("row", pa.null()), ("kept_text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
     # ``gone`` grows with the documents, so it is never broadcast; the text crosses the shuffle once, inside ``row``.
