@@ -10,10 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemill.llm.decontaminate import contaminated
-from tidemill.llm.near_dup import near_duplicates
+from tidemill.llm.near_dup import without_near_duplicates
 from tidemill.llm.packing import packed_documents
 from tidemill.llm.quality import fit_quality, score_quality
-from tidemill.llm.shared import crc_bucket, only_ids, stored
+from tidemill.llm.shared import crc_bucket, stored
 from tidemill.llm.substring import dedup_substrings
 
 #: Learned models and fuzzy alignments are beyond SQL; tests/llm compares every stage with a brute-force version.
@@ -28,9 +28,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the one with the smallest id, of every group of near duplicates; all rows without an id."""
-    gone = stored(near_duplicates(docs).where("NOT kept").select("doc_id").distinct(), "gone")
-    return only_ids(docs, gone, "doc_id", anti=True)
+    """One document, the one with the smallest id, of every group of near duplicates; rows without an id take part, last."""
+    return without_near_duplicates(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

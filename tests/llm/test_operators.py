@@ -122,6 +122,18 @@ def test_near_duplicates_of_awkward_rows(awkward):
     assert got[4] == {(4, True)} and got[5] == {(5, True)} and got[10] == {(10, True)} and got[7] == {(6, False)}
 
 
+def test_near_duplicates_go_by_row_not_by_id(spark):
+    import corpus_pipeline
+
+    a, b, c, d = (" ".join(words(40, k)) for k in range(30, 34))
+    texts = [(1, a), (5, a), (5, b), (None, a), (None, c), (None, c), (None, c + " end"), (None, d), (None, ""), (None, "")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {(r.component_id, r.kept) for r in near_duplicates(docs).collect() if r.doc_id == 5}
+    assert got == {(1, False), (5, True)}
+    left = sorted((r.doc_id or 0, r.text[:len(c)]) for r in corpus_pipeline.near_dup(spark, docs, "").collect())
+    assert left == sorted([(1, a), (5, b), (0, c), (0, d), (0, ""), (0, "")])
+
+
 def brute_bytes(docs):
     seen, out = set(), {}
     for i, text in sorted(docs.items()):

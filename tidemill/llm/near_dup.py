@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.components import components
-from tidemill.llm.shared import dropped, in_batches, named, only_ids, rows, slices, stored, text_bytes, text_table
+from tidemill.llm.shared import dropped, in_batches, named, only_ids, row_keys, rows, slices, stored, text_bytes, with_keys
 from tidemill.llm.words import shingle_sets
 
 SKETCH = 64
@@ -25,7 +25,7 @@ BLOCK_MEMBERS = 2_000
 #: Chance of overlooking, by its sketch, a link exactly at the threshold.
 MISS = 1e-9
 
-_SET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("sketch", pa.list_(pa.int64()))])
+_SET = pa.schema([("doc_id", pa.int64()), ("_key", pa.int64()), ("n_shingles", pa.int64()), ("set_id", pa.binary()), ("sketch", pa.list_(pa.int64()))])
 _PAIR = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 _BLOCK = pa.schema([("bucket", pa.int64()), ("block", pa.int64()), ("open", pa.int64()), ("ids", pa.binary()), ("roots", pa.binary()), ("sizes", pa.binary()), ("values", pa.binary())])
 
@@ -46,7 +46,7 @@ def _sketches(size: int, k: int):
         for batch in slices(batches):
             sets = shingle_sets(*text_bytes(named(batch, "text")), size)
             yield rows(
-                _SET, named(batch, "doc_id"), [len(s) for s in sets],
+                _SET, named(batch, "doc_id"), named(batch, "_key"), [len(s) for s in sets],
                 [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets],
                 # The order of the unsigned values is kept by moving them to the signed range.
                 [(s[:k] ^ np.uint64(1 << 63)).view(np.int64) for s in sets],
@@ -166,21 +166,43 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, sketch: i
     on whole sets, and only links between different components leave the task.
 
     Nulls: a null or empty text has an empty set and links with nothing. A row without ``doc_id`` takes no part:
-    its component is null and it is kept. Rows that repeat a ``doc_id`` stay separate rows of one node. Empty table:
-    no rows. Other columns are ignored.
+    its component is null and it is kept. Texts that share a ``doc_id`` are nodes of their own, so one may be kept and
+    the other not; rows equal in id and text are one node. Empty table: no rows. Other columns are ignored.
     """
-    share = percent / 100
+    keyed = with_keys(in_batches(docs), row_keys(docs))
+    return _decided(keyed, False, size, percent, sketch).select("doc_id", "n_shingles", "component_id", "kept")
+
+
+def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, sketch: int = SKETCH) -> DataFrame:
+    """The rows of ``docs`` that are kept when every row takes part, those without ``doc_id`` last.
+
+    Rows equal in id and text stay or go together; without an id one of them stays. Blank texts have no copies.
+    """
+    keyed = with_keys(in_batches(docs), row_keys(docs))
+    gone = stored(_decided(keyed, True, size, percent, sketch).where("NOT kept").select("_key").distinct(), "gone")
+    left = only_ids(keyed, gone, "_key", anti=True)
+    copies = F.coalesce(F.col("doc_id").isNull() & (F.col("_n") > 1) & F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    one = left.where(copies).groupBy("_key").agg(F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row"))
+    return left.where(~copies).select(*docs.columns).union(one.select("row.*"))
+
+
+def _decided(keyed: DataFrame, nulls: bool, size: int, percent: int, sketch: int) -> DataFrame:
+    """``_key, doc_id, n_shingles, component_id, kept`` of rows with ``_key``; without ``nulls`` null ids take no part."""
+    part = F.lit(True) if nulls else F.col("doc_id").isNotNull()
     sets = stored(
-        text_table(in_batches(docs)).mapInArrow(_sketches(size, sketch), "doc_id long, n_shingles long, set_id binary, sketch array<long>"), "sets"
+        keyed.select("doc_id", "_key", "text").mapInArrow(
+            _sketches(size, sketch), "doc_id long, _key long, n_shingles long, set_id binary, sketch array<long>"
+        ), "sets"
     )
     classes = stored(
-        sets.where("doc_id IS NOT NULL AND n_shingles > 0").groupBy("set_id")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")), "classes"
+        sets.where(part & (F.col("n_shingles") > 0)).groupBy("set_id")
+        .agg(F.min(F.struct("_key", "doc_id")).alias("least"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+        .select("set_id", F.col("least._key").alias("node"), F.col("least.doc_id").alias("label"), "n", "sketch"), "classes"
     )
     members = stored(_listed(classes, sketch, percent), "members")
-    texts = stored(
-        only_ids(docs.where("doc_id IS NOT NULL"), members.select("node").distinct(), "doc_id").select("doc_id", "text"), "texts"
-    )
+    met = only_ids(keyed.where(part), members.select("node").distinct(), "_key")
+    again = met.where("_n > 1").groupBy("_key").agg(F.min("text").alias("text"))
+    texts = stored(met.where("_n = 1").select("_key", "text").union(again).withColumnRenamed("_key", "doc_id"), "texts")
     found = stored(_pairs(members, classes, texts, size, percent, sketch), "found")
     roots = components(found)
     more = stored(_rest(members, roots, texts, size, percent), "more")
@@ -188,13 +210,13 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, sketch: i
     dropped(texts)
     if not more.isEmpty():
         roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more))
-    labels = stored(
-        classes.select("set_id", "node").join(roots, "node", "left").select("set_id", F.coalesce("root", "node").alias("root")), "labels"
-    )
+    labels = classes.select("set_id", "node").join(roots, "node", "left").select("set_id", F.coalesce("root", "node").alias("root"))
+    labels = stored(labels.join(classes.select(F.col("node").alias("root"), "label"), "root"), "labels")
     dropped(classes)
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
+    root = F.when(part, F.coalesce("root", "_key"))
+    component = F.when(part, F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("label")))
     return sets.drop("sketch").join(labels, "set_id", "left").select(
-        "doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept")
+        "_key", "doc_id", "n_shingles", component.alias("component_id"), F.coalesce(F.col("_key") == root, F.lit(True)).alias("kept")
     )
 
 
