@@ -310,6 +310,12 @@ def test_top_k_of_awkward_vectors(spark):
     assert top_k(spark.createDataFrame([], "vec_id long, embedding array<float>")).isEmpty()
 
 
+def test_top_k_of_empty_vectors(spark):
+    rows = [(0, []), (3, []), (1, []), (50, [1.0]), (51, [2.0]), (100, [])]
+    got = sorted(tuple(r) for r in top_k(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), 2).collect())
+    assert got == [(0, 1, 1, 0), (0, 2, 3, 0), (50, 1, 51, 2 * 256 * 256), (100, 1, 0, 0), (100, 2, 1, 0)]
+
+
 @pytest.mark.parametrize("name, label, least", [("op7_quality_classifier", "quality", 0.93), ("op5_toxicity", "toxic", 0.93)])
 def test_held_out_accuracy(spark, name, label, least):
     folder = "/root/testdata/sf0.01"

@@ -30,7 +30,8 @@ def quantised(vectors: DataFrame, scale: int = 256) -> DataFrame:
 def _pack(table: pa.Table) -> pa.Table:
     vectors = table.column("vector").combine_chunks()
     dim = table.column("dim")[0].as_py()
-    matrix = np.asarray(vectors.values if hasattr(vectors, "values") else vectors.flatten(), np.int64).reshape(-1, dim)
+    # Counted by ids: nothing can be told from the components of vectors of length 0.
+    matrix = np.asarray(vectors.values if hasattr(vectors, "values") else vectors.flatten(), np.int64).reshape(len(vectors), dim)
     length = np.sqrt((matrix.astype(np.float64) ** 2).sum(1)).max() if dim else 0.0
     ids = np.asarray(table.column("id"), np.int64)
     return pa.table([[dim], [table.column("block")[0].as_py()], [float(length)], [ids.tobytes()], [matrix.tobytes()]], schema=_PACKED)
@@ -127,7 +128,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
     scores: lower ones cannot hold the k-th best of all.
 
     Vectors that are null, have null or non-finite components, or a null id, take no part. Vectors meet only vectors
-    of their dimension. Rows with a query's id are its own and no candidates for it; a repeated query id is asked
+    of their dimension; empty ones meet each other, with score 0. Rows with a query's id are its own and no candidates for it; a repeated query id is asked
     once, with its smallest vector; other repeated rows are candidates each. Fewer than k candidates: all of them.
     Empty table: no rows.
     """
