@@ -237,6 +237,18 @@ def test_replaced_words_do_not_hide_a_passage(spark, awkward):
     assert contaminated(awkward, benchmark).count() == 14 and contaminated(docs, benchmark.limit(0)).where("size(items) > 0").isEmpty()
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    zh, th = "水是由氢和氧两种元素组成的化合物，常温下是无色无味的液体。", "ประเทศไทยมีเมืองหลวงชื่อกรุงเทพมหานคร"
+    texts = [
+        (1, "He asked: who wrote Hamlet? Nobody knew."), (2, "Who wrote it, Hamlet or the king?"), (3, "前言如下：" + zh.replace("无色", "白色") + "完"),
+        (4, "คำนำ" + th + "จบ"), (5, "Ends in who wrote"), (6, "Hamlet is here"), (7, "東京"), (8, ""), (9, "水是液体。" * 3),
+    ]
+    items = [(1, "Who wrote Hamlet?"), (2, zh), (3, th), (4, "Who wrote Hamlet"), (5, "東京"), (6, "?!"), (7, "Nobody")]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = {r.doc_id: r["items"] for r in contamination(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {1: [1, 4, 7], 2: [], 3: [2], 4: [3], 5: [], 6: [], 7: [5], 8: [], 9: []}
+
+
 def test_packing_is_a_round_trip(spark, awkward, folder):
     from tokenizers import Tokenizer
 

@@ -14,7 +14,7 @@ from tidemill.llm.words import PLACE, mix, plain_words
 MASKS = ("11111", "1101011", "11100101", "101100011")
 #: An overlap is this many aligned words (a whole item, if it has fewer), of which so many per cent are equal.
 WINDOW, PERCENT = 20, 80
-#: Items of fewer words are not looked for.
+#: Items of fewer words are looked for whole, word by word equal.
 MIN_ITEM = 8
 #: Benchmark text in one block, in bytes; each block is one pass over the words of the documents.
 BLOCK_BYTES = 16_000_000
@@ -52,6 +52,15 @@ class Index:
             bits = np.zeros(1 << _BITS, bool)
             bits[self.seeds[-1] >> np.uint64(64 - _BITS)] = True
             self.bits.append(bits)
+        # Words -> sorted fingerprints of the short items of so many words, and their ids.
+        self.short = {}
+        size = np.diff(self.first)
+        for n in range(1, MIN_ITEM):
+            item = np.flatnonzero(size == n)
+            if len(item):
+                runs = _seeds(self.words, "1" * n, 16 + n)[self.first[item]]
+                order = np.argsort(runs, kind="stable")
+                self.short[n] = runs[order], self.ids[item][order]
 
     def overlaps(self, words: np.ndarray, first: np.ndarray, window: int, percent: int) -> dict[int, set[int]]:
         """Text number -> items that it overlaps with, by verified alignment around every seed hit."""
@@ -72,6 +81,15 @@ class Index:
                     tested.add((p - q, t, item))
                     if self.aligned(words, first[t], first[t + 1], p - q, item, window, percent):
                         found.setdefault(t, set()).add(int(self.ids[item]))
+        for n, (runs, ids) in self.short.items():
+            seen = _seeds(words, "1" * n, 16 + n)
+            a = np.searchsorted(runs, seen)
+            at = np.flatnonzero(runs[np.minimum(a, len(runs) - 1)] == seen)
+            text = np.searchsorted(first, at, "right") - 1
+            inside = at + n <= first[text + 1]
+            for t, lo in np.unique(np.stack([text[inside], a[at[inside]]]), axis=1).T.tolist():
+                hi = np.searchsorted(runs, runs[lo], "right")
+                found.setdefault(t, set()).update(ids[lo:hi].tolist())
         return found
 
     def aligned(self, words, start, stop, shift, item, window, percent) -> bool:
@@ -104,7 +122,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, pe
     Candidates are hits of any of the ``MASKS``, which skip fixed places, so that single replaced words do not hide a
     passage; every hit is verified around its place. Items are matched in blocks of bounded size, all of them.
 
-    Null or empty texts and items shorter than ``MIN_ITEM`` words overlap with nothing. Rows with null or repeated
+    An item of fewer than ``MIN_ITEM`` words, even of one, must stand in the document whole, with equal words. In scripts
+    without spaces every character is a word. Texts without words overlap with nothing. Rows with null or repeated
     ids are judged one by one. Empty tables: no rows, or no items.
     """
     spark = docs.sparkSession

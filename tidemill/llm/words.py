@@ -56,14 +56,16 @@ def space(raw: np.ndarray) -> np.ndarray:
     return (raw == 32) | ((raw >= 9) & (raw <= 13))
 
 
-def word_spans(separator: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text number of every maximal run without separators, in order."""
+def word_spans(separator: np.ndarray, offsets: np.ndarray, cuts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text number of every maximal run without separators, in order; runs also end at ``cuts``."""
     n = len(separator)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, none
     edge = np.zeros(n + 1, bool)
     edge[offsets] = True
+    if cuts is not None:
+        edge[cuts] = True
     before = np.empty(n, bool)
     before[0], before[1:] = True, separator[:-1]
     after = np.empty(n, bool)
@@ -97,21 +99,46 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(mix(total + np.uint64(n)))
 
 
-def plain_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+#: Code points of scripts written without spaces (Thai, Lao, Tibetan, Myanmar, Khmer, kana, Han), and of their signs.
+UNSPACED = ((0x0E00, 0x0FFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x3005, 0x3007), (0x3040, 0x312F), (0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0x9FFF), (0xF900, 0xFAFF), (0xFF66, 0xFF9D), (0x20000, 0x3FFFF))
+SIGNS = ((0x3000, 0x3004), (0x3008, 0x303F), (0x30FB, 0x30FB), (0xFF00, 0xFF0F), (0xFF1A, 0xFF20), (0xFF3B, 0xFF40), (0xFF5B, 0xFF65))
+
+
+def unspaced(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of the characters of ``UNSPACED``, and the bytes of the ``SIGNS``."""
+    at = np.flatnonzero(raw >= 0xE0)
+    last = len(raw) - 1
+    b = [raw[np.minimum(at + k, last)].astype(np.int64) & 63 for k in range(4)]
+    four = raw[at] >= 0xF0
+    point = np.where(four, ((b[0] & 7) << 18) | (b[1] << 12) | (b[2] << 6) | b[3], ((b[0] & 15) << 12) | (b[1] << 6) | b[2])
+    among = lambda ranges: np.any([(point >= lo) & (point <= hi) for lo, hi in ranges], 0)
+    char, sign = among(UNSPACED), among(SIGNS)
+    char &= ~sign
+    signs = at[sign & ~four]
+    return at[char], np.minimum(at + 3 + four, last + 1)[char], np.minimum((signs[:, None] + np.arange(3)).ravel(), last)
+
+
+def plain_spans(raw: np.ndarray, offsets: np.ndarray, characters: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Fingerprint, start, end and text of words without signs, whatever their case.
 
     Words are runs of ASCII letters, digits and bytes of other scripts; A-Z and the Latin-1 capitals are lower-cased.
+    With ``characters``, each character of a script without spaces is a word, and the signs of these scripts are none.
     """
+    cuts = None
     raw = raw.copy()
     raw[(raw >= 65) & (raw <= 90)] += 32
     capital = (raw[1:] >= 0x80) & (raw[1:] <= 0x9E) & (raw[1:] != 0x97) & (raw[:-1] == 0xC3)
     raw[1:][capital] += 32
     letter = ((raw >= 97) & (raw <= 122)) | ((raw >= 48) & (raw <= 57)) | (raw >= 128)
-    start, end, text = word_spans(~letter, offsets)
+    if characters and len(raw):
+        first, stop, signs = unspaced(raw)
+        letter[signs] = False
+        cuts = np.concatenate([first, stop])
+    start, end, text = word_spans(~letter, offsets, cuts)
     return spans(prefix_sums(raw), start, end), start, end, text
 
 
 def plain_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Fingerprints of the plain words of all texts, and where each text's begin."""
-    hashes, _, _, text = plain_spans(raw, offsets)
+    """Fingerprints of the plain words of all texts, characters where there are no spaces, and where each text's begin."""
+    hashes, _, _, text = plain_spans(raw, offsets, characters=True)
     return hashes, np.searchsorted(text, np.arange(len(offsets)))
