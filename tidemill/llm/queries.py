@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemill.llm import lexical, negatives, rules
 from tidemill.llm.decontaminate import contamination
 from tidemill.llm.licenses import license_scan
 from tidemill.llm.near_dup import near_duplicates
@@ -107,3 +108,19 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan(docs, path).select(
         F.col("row.doc_id").alias("doc_id"), "path", "license", "cosine", "share", "effective", "directory"
     )
+
+
+@query("op11_ranked_lexical_search", lexical.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    found = lexical.ranked_search(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
+@query("op12_hard_negatives", negatives.SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.mined(_table(spark, folder, "embeddings"))
+
+
+@query("op13_quality_rules", rules.SQL)
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return rules.quality_rules(_table(spark, folder, "documents"))
