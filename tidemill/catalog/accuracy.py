@@ -9,6 +9,7 @@ from tidemill.catalog.base import (
 )
 from tidemill.functions import parsing as parse
 from tidemill.operators import completions as ops, metrics
+from tidemill.plans import jobs
 from tidemill.sources import io
 from tidemill.streaming import telemetry
 
@@ -104,6 +105,13 @@ def box_summary(spark, d):
     return rounded(out, "q1", "median", "q3", "whisker_low", "whisker_high")
 
 
+@query(SQL["box_summary"])
+def box_sorted(spark, d):
+    """The box of groups too big for the built-in: quartiles by rank selection, in several rounds."""
+    out = metrics.box_summary(predictions(spark, d), ["k"], strategy="ranged")
+    return rounded(out, "q1", "median", "q3", "whisker_low", "whisker_high")
+
+
 @query(f"SELECT k, min(actual) AS actual_min, max(actual) AS actual_max FROM ({PREDICTIONS}) GROUP BY k")
 def actual_range(spark, d):
     return metrics.actual_range(predictions(spark, d), ["k"])
@@ -121,6 +129,24 @@ def text_artifacts(spark, d):
     return io.text_artifacts(completions(spark, d), ["sample_id", "generation_id"], {"response": "content", "language": "lang"})
 
 
+def _long(report: str, names: str, place: str = "CAST(NULL AS INTEGER)") -> str:
+    columns = ", ".join(f"CAST({n} AS DOUBLE) AS {n}" for n in names.split())
+    return f"""SELECT k, '{report}' AS report, CAST(bin AS INTEGER) AS bin, name, round(value, 6) AS value
+FROM (SELECT k, {place} AS bin, {columns} FROM ({SQL[NAMES_OF[report]]})) UNPIVOT INCLUDE NULLS (value FOR name IN ({', '.join(names.split())}))"""
+
+
+NAMES_OF = {"metrics": "forecast_metrics", "range": "actual_range", "box": "box_summary", "histogram": "error_histogram"}
+
+
+@query("\nUNION ALL\n".join([
+    _long("metrics", "n mae mse rmse r2 mape"), _long("range", "actual_min actual_max"),
+    _long("box", "q1 median q3 whisker_low whisker_high n_outliers"), _long("histogram", "low high n", "bin"),
+]))
+def evaluate_job(spark, d):
+    """All reports of one evaluation as one table."""
+    return rounded(jobs.evaluation_table(jobs.evaluate(predictions(spark, d), ["k"]), ["k"]), "value")
+
+
 # ---- telemetry ------------------------------------------------------------
 
 @query("""SELECT k, count(*) AS n_measurements, max(sec) AS duration, arg_max(sec, (value, -sec)) AS peak_timestamp, max(value) AS peak_used_mb,

@@ -164,6 +164,12 @@ def norm_robust(spark, d):
     return _scaled(spark, d, "robust")
 
 
+@query(SQL["norm_robust"])
+def robust_sorted(spark, d):
+    """Robust scaling of groups too big for the built-in quantiles."""
+    return rounded(scale.scale(series(spark, d), "robust", ["value"], KEYS, strategy="ranged").drop("ts"), "value")
+
+
 @query(_scaled_sql("min(value)", "CASE WHEN max(value) = min(value) THEN 1 ELSE max(value) - min(value) END"))
 def scale_minmax(spark, d):
     return _scaled(spark, d, "minmax_guarded")

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tidemill.functions import parsing as parse
 from tidemill.functions import rewards as rw
 from tidemill.functions import wording as w
+from tidemill.functions.exact import cut, joined
 from tidemill.functions.text import count_of
 from tidemill.plans.sizing import PLAIN_LIMIT, broadcast_if_small, join_on, largest_group
 
@@ -172,32 +173,39 @@ def group_advantage(
     """``advantage``: reward centred and scaled within the generations of a sample.
 
     Samples with at most ``limit`` generations (``largest``, if it is known) are one
-    window group.  Otherwise
-    moments are taken per block of consecutive generations, merged per sample, and
-    joined back by block, so that no task sees a whole oversized group.
+    window group.  Otherwise sums are taken per block of consecutive generations,
+    merged per sample, and joined back by block, so that no task sees a whole
+    oversized group.  Sums are exact, so both plans give the same bits.
     """
-    center = F.col("__mean") if normalize else F.lit(0.0)
+    x, mean = F.col(reward).cast("double"), F.col("__mean")
+    center = mean if normalize else F.lit(0.0)
     spread = F.col("__std") + eps if whiten else F.lit(1.0)
-    advantage = (F.col(reward) - center) / spread
+    advantage = (x - center) / spread
+    odd = F.isnan(x) | (F.abs(x) == float("inf"))
+    squares = (x - mean) * (x - mean)
+    names = lambda values, stem: {f"{stem}{i}": c for i, c in enumerate(values)}
+    total = lambda stem: joined([F.col(f"{stem}{i}") for i in range(3)])
+    n = F.col("__n")
+    mean_of = F.when(F.col("__odd") > 0, F.lit(float("nan"))).otherwise(F.try_divide(total("__s"), n))
+    # A single generation has no spread.
+    std_of = F.when(F.col("__odd") > 0, F.lit(float("nan"))).when(n > 1, F.sqrt(total("__q") / (n - 1))).otherwise(0.0)
     if (largest_group(df, [on]) if largest is None else largest) <= limit:
         group = Window.partitionBy(on)
-        # A single generation has no spread.
-        return (
-            df.withColumn("__mean", F.avg(reward).over(group))
-            .withColumn("__std", F.coalesce(F.stddev_samp(reward).over(group), F.lit(0.0)))
-            .withColumn("advantage", advantage)
-            .drop("__mean", "__std")
-        )
+        sums = {"__n": F.count(x).over(group), "__odd": F.count_if(odd).over(group), **names([F.sum(c).over(group) for c in cut(x)], "__s")}
+        work = df.withColumns(sums).withColumn("__mean", mean_of)
+        work = work.withColumns(names([F.sum(c).over(group) for c in cut(squares)], "__q")).withColumn("__std", std_of)
+        return work.withColumn("advantage", advantage).select(*df.columns, "advantage")
+
     blocks = df.withColumn("__block", F.floor(F.col(generation) / GROUP_ROWS))
-    parts = blocks.groupBy(on, "__block").agg(
-        F.count(reward).alias("__k"), F.avg(reward).alias("__m"), F.var_pop(reward).alias("__v")
-    )
+    part = [on, "__block"]
     sample = Window.partitionBy(on)
-    n = F.sum("__k").over(sample)
-    mean = F.sum(F.col("__k") * F.col("__m")).over(sample) / n
-    parts = parts.withColumns({"__n": n, "__mean": mean})
-    squares = F.sum(F.col("__k") * (F.col("__v") + F.pow(F.col("__m") - F.col("__mean"), 2))).over(sample)
-    std = F.when(F.col("__n") > 1, F.sqrt(squares / (F.col("__n") - 1))).otherwise(0.0)
-    stats = parts.select(on, "__block", "__mean", std.alias("__std"))
-    joined = join_on(blocks, broadcast_if_small(stats), [on, "__block"], "left")
-    return joined.withColumn("advantage", advantage).select(*df.columns, "advantage")
+    merged = lambda stem: {f"{stem}{i}": F.sum(f"{stem}{i}").over(sample) for i in range(3)}
+    aliased = lambda values, stem: [F.sum(c).alias(f"{stem}{i}") for i, c in enumerate(values)]
+    parts = blocks.groupBy(*part).agg(F.count(x).alias("__n"), F.count_if(odd).alias("__odd"), *aliased(cut(x), "__s"))
+    means = parts.withColumns({"__n": F.sum("__n").over(sample), "__odd": F.sum("__odd").over(sample), **merged("__s")})
+    means = means.select(*part, "__n", "__odd", mean_of.alias("__mean"))
+    met = join_on(blocks, broadcast_if_small(means), part, "left")
+    spreads = met.groupBy(*part, "__n", "__odd", "__mean").agg(*aliased(cut(squares), "__q")).withColumns(merged("__q"))
+    stats = spreads.select(*part, "__mean", std_of.alias("__std"))
+    out = join_on(blocks, broadcast_if_small(stats), part, "left")
+    return out.withColumn("advantage", advantage).select(*df.columns, "advantage")

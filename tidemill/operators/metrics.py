@@ -48,13 +48,17 @@ def forecast_metrics(
     two rows); rule ``sequence`` gives 0.
     """
     y, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
+    return metric_rows(df.groupBy(*keys).agg(*metric_sums(y, p)), keys, r2_rule)
+
+
+def metric_sums(y: Column, p: Column) -> list[Column]:
     ok = known(y) & known(p)
     e = F.when(ok, p - y)
     truth = F.when(ok, y)
     share = F.when(truth == 0, F.when(e == 0, F.lit(float("nan"))).otherwise(F.lit(float("inf")))).otherwise(
         F.abs(F.try_divide(e, truth))
     )
-    sums = df.groupBy(*keys).agg(
+    return [
         F.count(e).alias("n"),
         F.avg(F.abs(e)).alias("mae"),
         F.avg(e * e).alias("mse"),
@@ -62,7 +66,10 @@ def forecast_metrics(
         F.sum(e * e).alias("__res"),
         (F.var_pop(truth) * F.count(truth)).alias("__tot"),
         (F.min(truth) == F.max(truth)).alias("__flat"),
-    )
+    ]
+
+
+def metric_rows(sums: DataFrame, keys: Sequence[str], r2_rule: str) -> DataFrame:
     r2 = _r2(r2_rule, F.col("n"), F.col("__res"), F.col("__tot"), F.col("__flat"))
     return sums.select(*keys, "n", "mae", "mse", F.sqrt("mse").alias("rmse"), r2.alias("r2"), "mape")
 
@@ -140,30 +147,26 @@ def point_error(df: DataFrame, actual: str = "actual", predicted: str = "predict
 
 
 def _errors(df, keys, actual, predicted):
-    return valid_pairs(df, actual, predicted).select(*keys, (F.col(predicted) - F.col(actual)).alias("__e"))
+    """Errors, NULL where a side is unknown, so that every key keeps a row."""
+    error = F.when(known(F.col(actual)) & known(F.col(predicted)), F.col(predicted) - F.col(actual))
+    return df.select(*keys, error.alias("__e"))
 
 
-def error_histogram(
-    df: DataFrame, bins: int = 30, keys: Sequence[str] = (), actual: str = "actual", predicted: str = "predicted"
-) -> DataFrame:
-    """(keys, bin, low, high, n): equal-width bins over [min, max], empty ones too.
-
-    If all errors are equal the range is widened by one half on both sides.
-    """
-    errors = _errors(df, keys, actual, predicted)
-    lo, hi = F.min("__e"), F.max("__e")
+def error_bounds(lo: Column, hi: Column) -> list[Column]:
+    """Ends of the histogram; if all errors are equal the range is widened by one half on both sides."""
     flat = lo == hi
-    # Bins and empty bins both start from the bounds, so they are stored.
-    bounds = materialize(
-        errors.groupBy(*keys)
-        .agg(F.when(flat, lo - 0.5).otherwise(lo).alias("__lo"), F.when(flat, hi + 0.5).otherwise(hi).alias("__hi"))
-        .where(F.col("__lo").isNotNull())
-    )
-    at = F.least(
-        F.lit(bins - 1), F.floor((F.col("__e") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins)
-    ).cast("int")
-    counts = attach(errors, bounds, keys, stored=True).groupBy(*keys, at.alias("bin")).agg(F.count("*").alias("n"))
-    frame = bounds.select(*keys, "__lo", "__hi", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    return [F.when(flat, lo - 0.5).otherwise(lo).alias("__lo"), F.when(flat, hi + 0.5).otherwise(hi).alias("__hi")]
+
+
+def error_bin(bins: int) -> Column:
+    share = (F.col("__e") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins
+    return F.least(F.lit(bins - 1), F.floor(share)).cast("int")
+
+
+def histogram_rows(bounds: DataFrame, counts: DataFrame, bins: int, keys: Sequence[str]) -> DataFrame:
+    """All bins of every key of ``bounds`` with their counts, empty ones too."""
+    every = F.when(F.col("__lo").isNotNull(), F.sequence(F.lit(0), F.lit(bins - 1)))
+    frame = bounds.select(*keys, "__lo", "__hi", F.explode_outer(every).alias("bin"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     return join_on(frame, counts, [*keys, "bin"], "left").select(
         *keys,
@@ -174,6 +177,21 @@ def error_histogram(
     )
 
 
+def error_histogram(
+    df: DataFrame, bins: int = 30, keys: Sequence[str] = (), actual: str = "actual", predicted: str = "predicted"
+) -> DataFrame:
+    """(keys, bin, low, high, n): equal-width bins over [min, max], empty ones too.
+
+    If all errors are equal the range is widened by one half on both sides.  A key
+    without errors has one row with a NULL bin and n = 0.
+    """
+    errors = _errors(df, keys, actual, predicted)
+    # Bins and empty bins both start from the bounds, so they are stored.
+    bounds = materialize(errors.groupBy(*keys).agg(*error_bounds(F.min("__e"), F.max("__e"))))
+    counts = attach(errors, bounds, keys, stored=True).where("__e IS NOT NULL").groupBy(*keys, error_bin(bins).alias("bin")).agg(F.count("*").alias("n"))
+    return histogram_rows(bounds, counts, bins, keys)
+
+
 def box_summary(
     df: DataFrame,
     keys: Sequence[str] = (),
@@ -182,24 +200,34 @@ def box_summary(
     strategy: str = "auto",
     plain_limit: int = PERCENTILE_LIMIT,
 ) -> DataFrame:
-    """Quartiles, whiskers at 1.5 quartile ranges and the number of outliers of the errors."""
+    """Quartiles, whiskers at 1.5 quartile ranges and the number of outliers of the errors; NULL without errors."""
     errors = _errors(df, keys, actual, predicted)
+    quartiles = error_quartiles(errors, keys, strategy, plain_limit)
+    out = attach(errors, quartiles, keys).groupBy(*keys, "q1", "median", "q3").agg(*box_parts())
+    return box_rows(out, keys)
+
+
+def error_quartiles(errors: DataFrame, keys: Sequence[str], strategy: str, plain_limit: int) -> DataFrame:
     q = group_quantiles(errors, "__e", (0.25, 0.5, 0.75), keys, strategy, plain_limit)
-    q = q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
-    reach = (F.col("q3") - F.col("q1")) * 1.5
-    e = F.col("__e")
+    return q.select(*keys, F.col("q")[0].alias("q1"), F.col("q")[1].alias("median"), F.col("q")[2].alias("q3"))
+
+
+def box_parts() -> list[Column]:
+    """Aggregates of errors beside their quartiles; they can be merged by least, greatest and sum."""
+    reach, e = (F.col("q3") - F.col("q1")) * 1.5, F.col("__e")
     inside_low, inside_high = e >= F.col("q1") - reach, e <= F.col("q3") + reach
-    out = attach(errors, q, keys).groupBy(*keys, "q1", "median", "q3").agg(
+    return [
         F.min(F.when(inside_low, e)).alias("whisker_low"),
         F.max(F.when(inside_high, e)).alias("whisker_high"),
         F.count_if(~inside_low | ~inside_high).alias("n_outliers"),
-    )
-    # A whisker never ends inside the box.
-    return out.withColumns(
-        {
-            "whisker_low": F.least("whisker_low", "q1"),
-            "whisker_high": F.greatest("whisker_high", "q3"),
-        }
+    ]
+
+
+def box_rows(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    # A whisker never ends inside the box; a key without errors has none.
+    return parts.select(
+        *keys, "q1", "median", "q3", F.least("whisker_low", "q1").alias("whisker_low"),
+        F.greatest("whisker_high", "q3").alias("whisker_high"), "n_outliers",
     )
 
 

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.index import series_index
-from tidemill.plans.sizing import PERCENTILE_LIMIT, broadcast_if_small, join_on, pick_strategy
+from tidemill.plans.sizing import PERCENTILE_LIMIT, attach, join_on, materialize, pick_strategy
+
+# A round cuts the bracket of a quantile to about three of these cells; the sketch's error is far below one.
+CELLS, ACCURACY = 64, 2_000
 
 
 def group_quantiles(
@@ -19,39 +21,114 @@ def group_quantiles(
     strategy: str = "auto",
     plain_limit: int = PERCENTILE_LIMIT,
     partitions: int | None = None,
+    bracket_rows: int = PERCENTILE_LIMIT,
 ) -> DataFrame:
-    """One row per group with ``q`` = array of quantiles of the non-missing values.
+    """One row per group with ``q`` = array of quantiles of the non-missing values, NULL for a group without any.
 
-    Small groups use the built-in ``percentile``, which holds the distinct values
-    of a group in one task.  Bigger ones are sorted once over the cluster by
-    (keys, value), and only the two rows around each quantile are read off.
+    Small groups use the built-in ``percentile``, which holds the distinct values of a group in one task. Bigger ones
+    are selected by rank: a sketch brackets every quantile, the rows below and inside each bracket are counted
+    exactly, and so on inside the bracket until it holds at most ``bracket_rows`` rows; only those are sorted. No
+    group is shuffled whole, and every round is one aggregate that is combined before the shuffle. The rounds read
+    a stored table of keys and values, dealt over ``partitions`` if given.
     """
     x = F.col(value).cast("double")
-    data = df.select(*keys, x.alias("__x")).where(F.col("__x").isNotNull() & ~F.isnan("__x"))
+    data = df.select(*keys, F.when(~F.isnan(x), x).alias("__x"))
     if pick_strategy(strategy, data, keys, plain_limit) == "plain":
         q = F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs]))
         return data.groupBy(*keys).agg(q.alias("q"))
+    data = data.repartition(partitions) if partitions else data
+    return _selected(materialize(data), [float(p) for p in probs], list(keys), bracket_rows)
 
-    group = list(keys) or ["__all"]
-    if not keys:
-        data = data.withColumn("__all", F.lit(0))
-    # Equal values are interchangeable; the tie only lets a crowded value be split.
-    data = data.withColumn("__tie", F.monotonically_increasing_id())
-    ranked = series_index(data, ["__x", "__tie"], group, pos="__rank", strategy="ranged", partitions=partitions)
-    sizes = ranked.groupBy(*group).agg((F.max("__rank") + 1).alias("__n"))
-    ranked = join_on(ranked, broadcast_if_small(sizes), group)
-    at = lambda p: F.lit(float(p)) * (F.col("__n") - 1)
-    out = []
+
+def _sketch(x: Column) -> Column:
+    return F.percentile_approx(x, F.array(*[F.lit(c / CELLS) for c in range(CELLS + 1)]), ACCURACY)
+
+
+def _rank(p: float) -> Column:
+    return F.lit(p) * (F.col("__n") - 1)
+
+
+def _cell(grid: Column, rank: Column, rows: Column, low: Column, high: Column) -> tuple[Column, Column]:
+    """Values around the ``rank`` (0 at least) of a sketched bracket of so many rows, a cell to spare on both sides."""
+    cell = lambda r: F.floor(F.try_divide(r, rows) * CELLS).cast("int")
+    return F.coalesce(F.get(grid, cell(F.floor(rank)) - 1), low), F.coalesce(F.get(grid, cell(F.ceil(rank) + 1) + 2), high)
+
+
+def _selected(data, probs, keys, bracket_rows):
+    every = range(len(probs))
+    x = F.col("__x")
+    if not keys and data.isEmpty():
+        return data.agg(F.lit(None).cast("array<double>").alias("q"))
+    first = data.groupBy(*keys).agg(F.count(x).alias("__n"), F.min(x).alias("__min"), F.max(x).alias("__max"), _sketch(x).alias("__grid"))
+    wide = [_cell(F.col("__grid"), _rank(p), F.col("__n"), F.col("__min"), F.col("__max")) for p in probs]
+    brackets = first.select(
+        *keys, "__n", *[c.alias(f"__{side}{i}") for i in every for side, c in zip(("lo", "hi"), wide[i])],
+        *[c.alias(f"__{side}{i}") for i in every for side, c in (("min", F.col("__min")), ("max", F.col("__max")))],
+    )
+    widened = False
+    while True:
+        brackets = materialize(brackets)
+        held = ["__n", *[f"__{side}{i}" for i in every for side in ("lo", "hi", "min", "max")]]
+        met = attach(data, brackets, keys, stored=True)
+        inside = lambda i: (x >= F.col(f"__lo{i}")) & (x <= F.col(f"__hi{i}"))
+        counted = materialize(met.groupBy(*keys, *held).agg(
+            *[F.count_if(x < F.col(f"__lo{i}")).alias(f"__below{i}") for i in every],
+            *[F.count_if(inside(i)).alias(f"__in{i}") for i in every],
+            *[_sketch(F.when(inside(i), x)).alias(f"__grid{i}") for i in every],
+        ))
+        # A bracket that misses its ranks is widened to the one before it, which holds them.
+        for i in every:
+            hit = (F.col(f"__below{i}") <= F.floor(_rank(probs[i]))) & (F.ceil(_rank(probs[i])) < F.col(f"__below{i}") + F.col(f"__in{i}"))
+            counted = counted.withColumn(f"__hit{i}", hit | (F.col("__n") == 0))
+        # One value is no work, however many rows have it.
+        rows = lambda i: F.when(F.col(f"__lo{i}") < F.col(f"__hi{i}"), F.col(f"__in{i}")).otherwise(0)
+        todo = [F.max(F.when(F.col(f"__hit{i}"), rows(i)).otherwise(F.col("__n"))) for i in every]
+        most, missed = counted.agg(F.greatest(*todo, F.lit(0)), F.max(F.greatest(*[(~F.col(f"__hit{i}")).cast("int") for i in every], F.lit(0)))).first()
+        if not most or (not missed and (widened or most <= bracket_rows)):
+            break
+        widened = bool(missed)
+        nearer = []
+        for i in every:
+            hit, lo, hi = F.col(f"__hit{i}"), F.col(f"__lo{i}"), F.col(f"__hi{i}")
+            # After a miss the other brackets stay as they are, so the next count is the last.
+            low, high = (lo, hi) if missed else _cell(F.col(f"__grid{i}"), _rank(probs[i]) - F.col(f"__below{i}"), F.col(f"__in{i}"), lo, hi)
+            nearer += [
+                F.when(hit, low).otherwise(F.col(f"__min{i}")).alias(f"__lo{i}"), F.when(hit, high).otherwise(F.col(f"__max{i}")).alias(f"__hi{i}"),
+                F.when(hit, F.col(f"__lo{i}")).otherwise(F.col(f"__min{i}")).alias(f"__min{i}"),
+                F.when(hit, F.col(f"__hi{i}")).otherwise(F.col(f"__max{i}")).alias(f"__max{i}"),
+            ]
+        after = counted.select(*keys, "__n", *nearer)
+        # Crowded neighbours that no cell can part are sorted as they are: a few distinct values, counted first.
+        if after.exceptAll(counted.select(*keys, *held).select(*after.columns)).isEmpty():
+            break
+        brackets = after
+    limits = counted.select(*keys, "__n", *[f"__{side}{i}" for i in every for side in ("lo", "hi", "below")])
+    return _read_off(data, materialize(limits), probs, keys)
+
+
+def _read_off(data, limits, probs, keys):
+    """The two rows around each quantile, from the counts of the values inside the brackets."""
+    every = range(len(probs))
+    x = F.col("__x")
+    met = attach(data, limits, keys, stored=True)
+    within = [F.when((x >= F.col(f"__lo{i}")) & (x <= F.col(f"__hi{i}")), F.struct(F.lit(i).alias("__i"), F.col(f"__below{i}").alias("__below"))) for i in every]
+    near = met.select(*keys, "__n", "__x", F.inline(F.filter(F.array(*within), lambda s: s.isNotNull())))
+    counts = near.groupBy(*keys, "__i", "__n", "__below", "__x").agg(F.count("*").alias("__rows"))
+    upto = F.sum("__rows").over(Window.partitionBy(*keys, "__i").orderBy("__x")) + F.col("__below")
+    ranked = counts.withColumn("__upto", upto)
+    holds = lambda rank: (F.col("__upto") > rank) & (F.col("__upto") - F.col("__rows") <= rank)
+    found = []
     for i, p in enumerate(probs):
-        low = F.max(F.when(F.col("__rank") == F.floor(at(p)), F.col("__x")))
-        high = F.max(F.when(F.col("__rank") == F.ceil(at(p)), F.col("__x")))
-        out += [low.alias(f"__low{i}"), high.alias(f"__high{i}")]
-    sought = F.array(*[f(at(p)) for p in probs for f in (F.floor, F.ceil)])
-    picked = ranked.where(F.array_contains(sought, F.col("__rank"))).groupBy(*group, "__n").agg(*out)
+        mine = F.col("__i") == i
+        found += [F.max(F.when(mine & holds(f(_rank(p))), x)).alias(f"__{side}{i}") for side, f in (("low", F.floor), ("high", F.ceil))]
+    picked = ranked.groupBy(*keys, "__n").agg(*found)
     # The arithmetic of the built-in, so that both plans give the same doubles.
     parts = []
     for i, p in enumerate(probs):
-        low, high = F.col(f"__low{i}"), F.col(f"__high{i}")
-        between = (F.ceil(at(p)) - at(p)) * low + (at(p) - F.floor(at(p))) * high
-        parts.append(F.when((F.floor(at(p)) == F.ceil(at(p))) | (low == high), low).otherwise(between))
-    return picked.select(*keys, F.array(*parts).alias("q"))
+        at, low, high = _rank(p), F.col(f"__low{i}"), F.col(f"__high{i}")
+        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+        parts.append(F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise(between))
+    quantiles = picked.select(*keys, F.array(*parts).alias("q"))
+    if not keys:
+        return quantiles if limits.first()["__n"] else limits.select(F.lit(None).cast("array<double>").alias("q"))
+    return join_on(limits.select(*keys), quantiles, keys, "left")

@@ -12,7 +12,7 @@ from tidemill.functions.wording import UNDETERMINED
 from tidemill.operators import clean, completions, language, metrics, render, scale, split
 from tidemill.operators.index import series_index
 from tidemill.operators.windows import default_stride, window_counts
-from tidemill.plans.sizing import join_on, largest_group
+from tidemill.plans.sizing import PERCENTILE_LIMIT, attach, join_on, largest_group, materialize
 from tidemill.sources import io
 
 
@@ -128,17 +128,57 @@ def forecast_frame(rolling: DataFrame, completion_table: DataFrame, on: Sequence
     return out.withColumn("predicted", parse.first_value(F.col("response")))
 
 
-def evaluate(predictions: DataFrame, keys: Sequence[str] = (), id_columns: Sequence[str] = ("index",), bins: int = 30) -> dict[str, DataFrame]:
-    """Metrics, error histogram, box summary, report sample and actual range."""
+def evaluate(
+    predictions: DataFrame, keys: Sequence[str] = (), id_columns: Sequence[str] = ("index",), bins: int = 30,
+    strategy: str = "auto", plain_limit: int = PERCENTILE_LIMIT,
+) -> dict[str, DataFrame]:
+    """Metrics, error histogram, box summary, report sample and actual range.
+
+    The predictions are evaluated once and stored. One aggregate gives metrics, range and the bounds of the errors;
+    one more gives, by bin, the counts of the histogram and the parts of the box, which are merged from there.
+    """
+    keys = list(keys)
+    told = materialize(predictions)
+    actual, predicted = F.col("actual").cast("double"), F.col("predicted").cast("double")
+    ok = metrics.known(actual) & metrics.known(predicted)
+    pairs = told.select(*keys, actual.alias("__y"), predicted.alias("__p"), F.when(ok, predicted - actual).alias("__e"))
+    truth = F.when(metrics.known(F.col("__y")), F.col("__y"))
+    summary = materialize(pairs.groupBy(*keys).agg(
+        *metrics.metric_sums(F.col("__y"), F.col("__p")), *metrics.error_bounds(F.min("__e"), F.max("__e")),
+        F.min(truth).alias("actual_min"), F.max(truth).alias("actual_max"),
+    ))
+    bounds = summary.select(*keys, "__lo", "__hi")
+    errors = pairs.select(*keys, "__e")
+    quartiles = materialize(metrics.error_quartiles(errors, keys, strategy, plain_limit))
+    limits = ["__lo", "__hi", "q1", "median", "q3"]
+    met = attach(errors, bounds, keys, stored=True)
+    met = attach(met, quartiles, keys, stored=True).groupBy(*keys, *limits, metrics.error_bin(bins).alias("bin"))
+    parts = materialize(met.agg(F.count("__e").alias("n"), *metrics.box_parts()))
+    box = parts.groupBy(*keys, "q1", "median", "q3").agg(
+        F.min("whisker_low").alias("whisker_low"), F.max("whisker_high").alias("whisker_high"), F.sum("n_outliers").alias("n_outliers"),
+    )
     return {
-        "metrics": metrics.forecast_metrics(predictions, keys),
-        "histogram": metrics.error_histogram(predictions, bins, keys),
-        "box": metrics.box_summary(predictions, keys),
-        "sample": split.report_sample(predictions, id_columns),
-        "range": metrics.actual_range(predictions, keys),
+        "metrics": metrics.metric_rows(summary, keys, "evaluator"),
+        "histogram": metrics.histogram_rows(bounds, parts.where("bin IS NOT NULL").select(*keys, "bin", "n"), bins, keys),
+        "box": metrics.box_rows(box, keys),
+        "sample": split.report_sample(told, id_columns),
+        "range": summary.select(*keys, "actual_min", "actual_max"),
     }
 
 
+def evaluation_table(reports: dict[str, DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """The numbers of :func:`evaluate` in one table: (keys, report, name, bin, value)."""
+    out = None
+    for report in ("metrics", "range", "box", "histogram"):
+        df = reports[report]
+        names = [c for c in df.columns if c not in (*keys, "bin")]
+        place = F.col("bin") if "bin" in df.columns else F.lit(None).cast("int")
+        entries = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in names])
+        long = df.select(*keys, F.lit(report).alias("report"), place.alias("bin"), F.inline(entries))
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
 def write_evaluation(reports: dict[str, DataFrame], folder: str) -> None:
     for name, report in reports.items():
         io.write_csv(report, f"{folder}/{name}")

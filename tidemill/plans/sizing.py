@@ -21,6 +21,8 @@ PERCENTILE_LIMIT = 150_000
 # What a broadcast side may hold: rows, and bytes of its (compressed) files.
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 16 << 20
+# Up to this many bytes a table is dealt over all cores before costly work: it may be one file of one row group.
+DEAL_BYTES = 256 << 20
 
 
 def group_sizes(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
@@ -88,10 +90,25 @@ def drop_scratch(spark: SparkSession) -> int:
     return dropped
 
 
+def estimated_bytes(df: DataFrame) -> int:
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def dealt_if_small(df: DataFrame) -> DataFrame:
+    """Deal the rows of a small table over all cores; a big one has enough partitions and is left alone."""
+    if estimated_bytes(df) > DEAL_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
+
+
+def is_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> bool:
+    """Whether the files and rows of a stored table are few enough for every task."""
+    return estimated_bytes(table) <= BROADCAST_BYTES and table.count() <= limit
+
+
 def hint_if_small(table: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast of a stored table if its rows and its files are few enough."""
-    size = int(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    return F.broadcast(table) if size <= BROADCAST_BYTES and table.count() <= limit else table
+    return F.broadcast(table) if is_small(table, limit) else table
 
 
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
