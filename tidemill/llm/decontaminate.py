@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from tidemill.llm.shared import in_batches, named, slices, text_bytes
 from tidemill.llm.words import PLACE, mix, plain_words
 
-#: Which of the following words a seed looks at (1) or ignores (0).
-MASKS = ("11111", "1101011", "11100101", "101100011")
+#: Which of the following words a seed looks at (1) or ignores (0). Together they hit every overlap that counts (tested).
+MASKS = ("11111", "1110111", "1101011", "11100101", "101100011")
 #: An overlap is this many aligned words (a whole item, if it has fewer), of which so many per cent are equal.
 WINDOW, PERCENT = 20, 80
 #: Items of fewer words are looked for whole, word by word equal.

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemill.llm.components import components
-from tidemill.llm.shared import dropped, in_batches, named, only_ids, row_keys, rows, slices, stored, text_bytes, with_keys
+from tidemill.llm.shared import dropped, in_batches, named, only_ids, plain_names, row_keys, rows, slices, stored, text_bytes, with_keys
 from tidemill.llm.words import shingle_sets
 
 SKETCH = 64
@@ -178,12 +178,13 @@ def without_near_duplicates(docs: DataFrame, size: int = 5, percent: int = 75, s
 
     Rows equal in id and text stay or go together; without an id one of them stays. Blank texts have no copies.
     """
+    names, docs = docs.columns, plain_names(docs)
     keyed = with_keys(in_batches(docs), row_keys(docs))
     gone = stored(_decided(keyed, True, size, percent, sketch).where("NOT kept").select("_key").distinct(), "gone")
     left = only_ids(keyed, gone, "_key", anti=True)
     copies = F.coalesce(F.col("doc_id").isNull() & (F.col("_n") > 1) & F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
     one = left.where(copies).groupBy("_key").agg(F.first(F.struct(*(F.col(f"`{c}`") for c in docs.columns))).alias("row"))
-    return left.where(~copies).select(*docs.columns).union(one.select("row.*"))
+    return left.where(~copies).select(*docs.columns).union(one.select("row.*")).toDF(*names)
 
 
 def _decided(keyed: DataFrame, nulls: bool, size: int, percent: int, sketch: int) -> DataFrame:

@@ -14,12 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.llm.shared import in_batches, named, rows, slices, text_bytes
-from tidemill.llm.words import prefix_sums, space, spans
+from tidemill.llm.words import space
 
 #: Examples that wait in a task until they are packed, and how many of them stay for a better choice later.
 POOL, KEEP = 4096, 512
 #: Chunks of text whose ids a task remembers; when full it starts anew.
 REMEMBERED = 400_000
+#: Bytes of a chunk that is remembered.
+LONGEST = 64
 END_ID = 1
 
 
@@ -120,7 +122,7 @@ class Tokens:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         special = {"<|endoftext|>": len(table)}
         self.encoding = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         return np.array(self.encoding.encode(text, allowed_special="all"), np.uint32)
@@ -145,25 +147,20 @@ class Tokens:
         begins[len(raw)] = False
         start = np.flatnonzero(begins)
         end = np.append(start[1:], len(raw))
-        hashes, first, which = np.unique(spans(prefix_sums(raw), start, end), return_index=True, return_inverse=True)
         if len(self.known) > REMEMBERED:
             self.known = {}
         known, ids = self.known, []
-        for key, a, b in zip(hashes.tolist(), start[first].tolist(), end[first].tolist()):
-            got = known.get(key)
+        for a, b in zip(start.tolist(), end.tolist()):
+            chunk = data[a:b]
+            got = known.get(chunk)
             if got is None:
-                got = known[key] = self._chunk(data[a:b])
+                got = self._chunk(chunk)
+                if len(chunk) <= LONGEST:
+                    known[chunk] = got
             ids.append(got)
-        # Ids of all chunks in order, then cut at the texts.
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        flat = np.frombuffer(b"".join(ids), np.uint32)
-        at = (np.cumsum(sizes) - sizes)[which]
-        size = sizes[which]
-        stop = np.cumsum(size)
-        all_ids = flat[np.repeat(at - (stop - size), size) + np.arange(stop[-1] if len(stop) else 0)]
-        bound = np.concatenate([[0], stop])[np.searchsorted(start, offsets)]
+        bound = np.searchsorted(start, offsets).tolist()
         return [
-            self.encode(data[a:b].decode()) if o else all_ids[i:j]
+            self.encode(data[a:b].decode()) if o else np.frombuffer(b"".join(ids[i:j]), np.uint32)
             for o, a, b, i, j in zip(odd, offsets[:-1], offsets[1:], bound[:-1], bound[1:])
         ]
 

@@ -145,6 +145,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train, limit
         .groupBy(F.col("doc_id").alias("id")).agg(F.min(label).cast("int").alias("label"))
         .orderBy(F.xxhash64("id"), "id").limit(limit)
     )
+    # Only what is learnt from: other columns may have any name.
+    docs = docs.select(*(c for c in ("doc_id", "text", "n_chars") if c in docs.columns))
     return docs.join(F.broadcast(chosen), docs["doc_id"] == F.col("id"))
 
 

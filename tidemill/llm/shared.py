@@ -105,6 +105,11 @@ def with_keys(docs: DataFrame, keys: DataFrame | None) -> DataFrame:
     return docs.select("*", *(F.expr(e).alias(c) for c, e in _IDENTITY.items())).join(keys, [*_IDENTITY]).drop(*_IDENTITY)
 
 
+def plain_names(docs: DataFrame) -> DataFrame:
+    """``docs`` with all columns but id and text renamed by number, so that helper columns cannot clash with them."""
+    return docs.toDF(*(c if c in ("doc_id", "text") else f"user_{i}" for i, c in enumerate(docs.columns)))
+
+
 def text_table(docs: DataFrame, *columns: str) -> DataFrame:
     """``doc_id`` and ``text`` (and more), whatever other columns there are."""
     return docs.select(*(F.col(c) for c in ("doc_id", "text", *columns)))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemill.llm.shared import in_batches, named, row_keys, stored, with_keys
+from tidemill.llm.shared import in_batches, named, plain_names, row_keys, stored, with_keys
 
 #: Every character of a text is in exactly one unit: a line end, or a stretch of a line up to its full stops.
 UNIT = r"\n|[^.!?\n]+[.!?]*|[.!?]+"
@@ -91,13 +91,14 @@ def dedup_substrings(docs: DataFrame, pattern: str = UNIT, min_words: int = MIN_
     are documents of their own, ranked by digest; only rows equal in id and text count as one document and are cut
     alike. Empty table: no rows. Other columns stay in ``row``.
     """
+    names, docs = docs.columns, plain_names(docs)
     keys = row_keys(docs)
     keyed = with_keys(in_batches(docs), keys)
     gone = stored(
         repeated_units(keyed, pattern, min_words).groupBy("key").agg(F.collect_set("pos").alias("gone")).withColumnRenamed("key", "_id"),
         "gone",
     )
-    wide = keyed.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), "_key")
+    wide = keyed.select(F.struct(*(F.col(c).alias(name) for c, name in zip(docs.columns, names))).alias("row"), "_key")
     schema = wide.select("row").schema.add("kept_text", "string").add("removed", _SPANS)
     arrow = pa.schema([("row", pa.null()), ("kept_text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
     # ``gone`` grows with the documents, so it is never broadcast; the text crosses the shuffle once, inside ``row``.

@@ -15,6 +15,8 @@ QUERY_BLOCK, BLOCK = 1024, 2048
 BINS = 1024
 #: Exact as doubles below this bound on |query| * |candidate|.
 _EXACT = 2.0**52
+#: Scores must stay below; the first interval then fits 64 bits.
+WIDEST = 2.0**61
 
 _PACKED = pa.schema([("dim", pa.int64()), ("block", pa.int64()), ("longest", pa.float64()), ("ids", pa.binary()), ("matrix", pa.binary())])
 
@@ -52,7 +54,10 @@ def _scores(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     if row["q_longest"] * row["longest"] < _EXACT:
         scores = (x.astype(np.float64) @ y.T.astype(np.float64)).astype(np.int64)
     else:
+        # Whole numbers modulo 2**64, right wherever the true score fits; doubles tell where it does not.
         scores = x @ y.T
+        if (np.abs((x.astype(np.float64) @ y.T.astype(np.float64)))[q[:, None] != c[None, :]] >= WIDEST).any():
+            raise OverflowError("inner products beyond 2**61 cannot be ranked")
     return q, c, np.where(q[:, None] == c[None, :], np.iinfo(np.int64).min, scores)
 
 
@@ -130,7 +135,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, scale: int = 256) ->
     Vectors that are null, have null or non-finite components, or a null id, take no part. Vectors meet only vectors
     of their dimension; empty ones meet each other, with score 0. Rows with a query's id are its own and no candidates for it; a repeated query id is asked
     once, with its smallest vector; other repeated rows are candidates each. Fewer than k candidates: all of them.
-    Empty table: no rows.
+    Empty table: no rows. Scores of 2**61 and more are an error.
     """
     usable = quantised(vectors, scale)
     candidates = stored(_blocks(usable, BLOCK), "candidates")
@@ -184,7 +189,7 @@ def _opening(batches):
         for row in batch.to_pylist():
             ids = np.frombuffer(row["ids"], np.int64)
             matrix = np.frombuffer(row["matrix"], np.int64).reshape(len(ids), -1).astype(np.float64)
-            bound = np.ceil(np.sqrt((matrix**2).sum(1)) * row["far"] * (1 + 1e-9)).astype(np.int64) + 1
+            bound = np.ceil(np.minimum(np.sqrt((matrix**2).sum(1)) * row["far"] * (1 + 1e-9), WIDEST)).astype(np.int64) + 1
             yield pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in zip(
                     [row["dim"], row["block"], row["ids"], (-bound).tobytes(), (2 * bound + 1).tobytes(), np.zeros(len(ids), np.int64).tobytes(), True],

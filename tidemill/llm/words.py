@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 
 _MASK = (1 << 64) - 1
@@ -52,6 +54,18 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * powers(len(sums))[1][start])
 
 
+#: A sum of powers modulo 2**64 is the same for some long strings of two letters, so longer words get a digest.
+LONG = 64
+
+
+def word_prints(raw: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Fingerprints of the words [start, end) of ``raw``."""
+    prints = spans(prefix_sums(raw), start, end)
+    for i in np.flatnonzero(end - start >= LONG):
+        prints[i] = int.from_bytes(hashlib.blake2b(raw[start[i]: end[i]].tobytes(), digest_size=8).digest(), "little")
+    return prints
+
+
 def space(raw: np.ndarray) -> np.ndarray:
     return (raw == 32) | ((raw >= 9) & (raw <= 13))
 
@@ -79,7 +93,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     """Fingerprint of every word (lower-cased A-Z, split at ASCII white space) and the first word of each text."""
     raw = lower_ascii(raw)
     start, end, text = word_spans(space(raw), offsets)
-    hashes = spans(prefix_sums(raw), start, end)
+    hashes = word_prints(raw, start, end)
     return hashes, np.searchsorted(text, np.arange(len(offsets)))
 
 
@@ -135,7 +149,7 @@ def plain_spans(raw: np.ndarray, offsets: np.ndarray, characters: bool = False)
         letter[signs] = False
         cuts = np.concatenate([first, stop])
     start, end, text = word_spans(~letter, offsets, cuts)
-    return spans(prefix_sums(raw), start, end), start, end, text
+    return word_prints(raw, start, end), start, end, text
 
 
 def plain_words(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
