@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemill.functions.text import bind
 from tidemill.llm.shared import dropped, stored
-from tidemill.plans.sizing import join_on
+from tidemill.plans.sizing import hint_if_small, is_small, join_on
 
 #: Base limits: words at least, percent of words in repeated windows at most.
 MIN_WORDS, MAX_REPEATED = 50, 50
@@ -185,7 +185,7 @@ def _rooted(moments: DataFrame) -> DataFrame:
 
 
 def _distances(vectors: DataFrame, parameters: DataFrame) -> DataFrame:
-    """``d2`` of every vector; the table of parameters has one row a group and is sent to all tasks only if Spark finds it small."""
+    """``d2`` of every vector, by the parameters of its group."""
     return vectors.join(parameters, "g").selectExpr(*vectors.columns, *DISTANCE).select(*vectors.columns, "d2")
 
 
@@ -198,13 +198,15 @@ def fit_outliers(vectors: DataFrame) -> DataFrame:
     are exact integers, so the result does not hang on the order of rows.
     """
     parameters = stored(_rooted(_start(vectors)), "rules")
+    # One row a group: counted, and sent to all tasks if there are few; else a shuffle join, whose hot groups Spark splits.
+    small = F.broadcast if is_small(parameters) else lambda table: table
     for _ in range(MAX_STEPS):
-        near = _distances(vectors, parameters).selectExpr("*", BIN)
+        near = _distances(vectors, small(parameters)).selectExpr("*", BIN)
         counts = near.groupBy("g", "bin").agg(F.count("*").alias("n"))
         part = Window.partitionBy("g")
         reached = counts.withColumns({"upto": F.sum("n").over(part.orderBy("bin")), "all": F.sum("n").over(part)})
         border = reached.where(F.col("upto") * OF >= F.col("all") * KEPT).groupBy("g").agg(F.min("bin").alias("border"))
-        inner = near.join(border, "g").where("bin <= border")
+        inner = near.join(small(border), "g").where("bin <= border")
         whole = lambda c: F.sum(F.col(c).cast("decimal(38,0)")) if isinstance(c, str) else F.sum(c.cast("decimal(38,0)"))
         sums = inner.groupBy("g").agg(
             F.count("*").cast("decimal(38,0)").alias("n"), *(whole(f"x{i}").alias(f"s{i}") for i in range(1, P + 1)),
@@ -235,9 +237,9 @@ def judged(statistics: DataFrame, keys: Sequence[str] = ("lang", "source"), leas
     passed = vectors_of(statistics.where(~F.col("base_failed")).select(*keys, *STATISTICS)).select(*keys, *X)
     distinct = stored(passed.distinct(), "vectors")
     groups = stored(_groups(distinct, keys, least), "groups")
-    sample = stored(join_on(distinct, groups, keys).where("g IS NOT NULL").select("g", *X), "sample")
+    sample = stored(join_on(distinct, hint_if_small(groups), keys).where("g IS NOT NULL").select("g", *X), "sample")
     parameters = fit_outliers(sample)
-    limits = join_on(groups, parameters, ["g"]).drop("g")
+    limits = hint_if_small(stored(join_on(groups, parameters, ["g"]).drop("g"), "limits"))
     columns = statistics.columns
     held = statistics.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), *keys, *STATISTICS, "base_failed")
     named = vectors_of(held.where(~F.col("base_failed"))).unionByName(held.where("base_failed").withColumns({x: F.lit(None).cast("long") for x in X}))
