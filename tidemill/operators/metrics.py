@@ -166,7 +166,8 @@ def error_bin(bins: int) -> Column:
 def histogram_rows(bounds: DataFrame, counts: DataFrame, bins: int, keys: Sequence[str]) -> DataFrame:
     """All bins of every key of ``bounds`` with their counts, empty ones too."""
     every = F.when(F.col("__lo").isNotNull(), F.sequence(F.lit(0), F.lit(bins - 1)))
-    frame = bounds.select(*keys, "__lo", "__hi", F.explode_outer(every).alias("bin"))
+    spread = F.explode_outer if keys else F.explode
+    frame = bounds.select(*keys, "__lo", "__hi", spread(every).alias("bin"))
     width = (F.col("__hi") - F.col("__lo")) / bins
     return join_on(frame, counts, [*keys, "bin"], "left").select(
         *keys,
@@ -183,7 +184,7 @@ def error_histogram(
     """(keys, bin, low, high, n): equal-width bins over [min, max], empty ones too.
 
     If all errors are equal the range is widened by one half on both sides.  A key
-    without errors has one row with a NULL bin and n = 0.
+    without errors has one row with a NULL bin and n = 0; without keys and errors there is no row.
     """
     errors = _errors(df, keys, actual, predicted)
     # Bins and empty bins both start from the bounds, so they are stored.
