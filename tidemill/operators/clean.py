@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.operators.index import series_index
+from tidemill.operators.index import range_chunk
 from tidemill.operators.profile import is_float, missing
 from tidemill.plans.sizing import PLAIN_LIMIT, broadcast_if_small, join_on, pick_strategy
 
@@ -48,14 +48,17 @@ def fill_gaps(
 
 
 def _fill_chunked(df, order_by, keys, columns, chunk_rows, partitions):
-    """Two levels: windows inside chunks of equal size, carries between chunks."""
-    rows = series_index(df, order_by, keys, pos="__pos", strategy="ranged", partitions=partitions)
-    rows = rows.withColumn("__chunk", F.floor(F.col("__pos") / chunk_rows))
+    """Two levels: windows inside range chunks, carries between chunks.
+
+    The rows are shuffled once, to their chunk; the known values at the edges of a chunk are combined map-side.
+    """
+    rows = df.withColumn("__chunk", range_chunk(df, order_by, keys, partitions, chunk_rows))
     group = [*keys, "__chunk"]
 
+    place = "struct(" + ", ".join(f"`{c}`" for c in order_by) + ")"
     edges = rows.groupBy(*group).agg(
-        *[F.expr(f"max_by(`{c}`, __pos) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"__last_{c}") for c in columns],
-        *[F.expr(f"min_by(`{c}`, __pos) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"__first_{c}") for c in columns],
+        *[F.expr(f"max_by(`{c}`, {place}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"__last_{c}") for c in columns],
+        *[F.expr(f"min_by(`{c}`, {place}) FILTER (WHERE `{c}` IS NOT NULL)").alias(f"__first_{c}") for c in columns],
     )
     by_chunk = Window.partitionBy(*keys).orderBy("__chunk")
     before = by_chunk.rowsBetween(Window.unboundedPreceding, -1)
@@ -67,7 +70,7 @@ def _fill_chunked(df, order_by, keys, columns, chunk_rows, partitions):
             for c in columns
         ],
     )
-    local = Window.partitionBy(*group).orderBy("__pos").rowsBetween(Window.unboundedPreceding, 0)
+    local = Window.partitionBy(*group).orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
     filled = join_on(rows, broadcast_if_small(carry), group, "left").withColumns(
         {c: F.coalesce(F.last(c, True).over(local), F.col(f"__carry_{c}")) for c in columns}
     )

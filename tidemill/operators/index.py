@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.plans.sizing import (
-    PLAIN_LIMIT, broadcast_if_small, join_on, materialize, pick_strategy, shuffle_partitions,
-)
+from tidemill.plans.sizing import PLAIN_LIMIT, broadcast_if_small, join_on, pick_strategy, shuffle_partitions
 
-_RID, _PART = "__rid", "__part"
+# Rows of a range chunk, chunks at most (their boundaries are literals of the plan), and rows sampled for each boundary.
+CHUNK_ROWS = 1_000_000
+MAX_CHUNKS = 10_000
+SAMPLED = 30
+# Boundaries keep microseconds and the offset of their time zone.
+_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
 
 def series_index(
@@ -27,8 +31,8 @@ def series_index(
 
     ``order_by`` must order the rows of a series totally (end it with a tie-break
     column).  Series of at most ``plain_limit`` rows are numbered by a window.
-    Longer ones are range-partitioned over (keys, order) so that neither a long
-    series nor a crowded time stamp ends in one task; see :func:`_ranged_index`.
+    Longer ones are cut into range chunks over (keys, order) so that neither a long
+    series nor a crowded time stamp ends in one task; see :func:`range_chunk`.
     """
     if pick_strategy(strategy, df, keys, plain_limit) == "plain":
         window = Window.partitionBy(*keys).orderBy(*order_by)
@@ -36,24 +40,48 @@ def series_index(
     return _ranged_index(df, list(order_by), list(keys), pos, partitions)
 
 
+def range_chunk(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = (), partitions: int | None = None, chunk_rows: int = CHUNK_ROWS) -> Column:
+    """The number of the chunk a row lies in, as a function of (keys, order) alone.
+
+    The boundaries are drawn once, from a sample of bounded size, and become literals: whatever is computed from the
+    chunk later, in whichever job or attempt, agrees on it, so the rows need not be stored.  Chunk numbers rise with
+    (keys, order); a long series and a crowded time stamp are cut by the columns that follow in ``order_by``.  There are
+    ``partitions`` chunks, or as many as the rows need at ``chunk_rows`` each (a few per shuffle partition at least).
+    """
+    place = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate([*keys, *order_by])])
+    rows = df.select(place.alias("place"))
+    total = rows.count()
+    chunks = partitions or min(MAX_CHUNKS, max(4 * shuffle_partitions(df.sparkSession), -(-total // chunk_rows)))
+    if total > SAMPLED * chunks:
+        rows = rows.sample(SAMPLED * chunks / total, seed=1)
+    lowest = rows.repartitionByRange(chunks, "place").groupBy(F.spark_partition_id().alias("p")).agg(F.min("place").alias("place"))
+    drawn = [r.text for r in lowest.orderBy("p").select(F.to_json("place", _JSON).alias("text")).collect()][1:]
+    if not drawn:
+        return F.lit(0)
+
+    # A boundary that loses precision as text is still a boundary: only the order of both lists matters.
+    schema = f"array<{rows.schema['place'].dataType.simpleString()}>"
+    step = math.isqrt(len(drawn) - 1) + 1
+    edges, coarse = (F.sort_array(F.from_json(F.lit("[" + ",".join(part) + "]"), schema, _JSON)) for part in (drawn, drawn[::step]))
+
+    def passed(boundaries: Column) -> Column:
+        return F.size(F.filter(boundaries, lambda b: b <= place))
+
+    block = passed(coarse)
+    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + passed(F.slice(edges, (block - 1) * step + 1, step)))
+
+
 def _ranged_index(df, order_by, keys, pos, partitions):
-    """One range shuffle, then an offset per (series, partition) run.
+    """Numbers inside range chunks, plus the rows of the series in earlier chunks.
 
-    The range boundaries come from sampling, so the sorted rows are written once
-    and every later step reads that table: numbering and offsets always agree, also
-    after executors are lost.  A row id is ``partition << 33 | row in partition``;
-    within a run (rows of one series in one partition) ids are consecutive, hence
-    ``pos = id - first id of the run + rows of the series in earlier partitions``.
+    Counting reads the columns of ``keys`` and ``order_by`` only; the rows are shuffled once, to their chunk, and not
+    stored.  ``df`` must give the same rows whenever it is evaluated.
     """
-    parts = partitions or shuffle_partitions(df.sparkSession)
-    ordered = df.repartitionByRange(parts, *keys, *order_by).sortWithinPartitions(*keys, *order_by)
-    rows = materialize(ordered.withColumn(_RID, F.monotonically_increasing_id()))
-    rows = rows.withColumn(_PART, F.shiftright(F.col(_RID), 33))
-
-    runs = rows.groupBy(*keys, _PART).agg(F.count("*").alias("__n"), F.min(_RID).alias("__first"))
-    earlier = Window.partitionBy(*keys).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    shift = F.coalesce(F.sum("__n").over(earlier), F.lit(0)) - F.col("__first")
-    # At most one run per series plus one per partition.
-    runs = runs.select(*keys, _PART, shift.alias("__shift"))
-    indexed = join_on(rows, broadcast_if_small(runs), [*keys, _PART])
-    return indexed.select(*df.columns, (F.col(_RID) + F.col("__shift")).alias(pos))
+    rows = df.withColumn("__chunk", range_chunk(df, order_by, keys, partitions))
+    runs = rows.groupBy(*keys, "__chunk").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
+    # At most one run per series plus one per chunk.
+    runs = runs.select(*keys, "__chunk", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__before"))
+    local = F.row_number().over(Window.partitionBy(*keys, "__chunk").orderBy(*order_by))
+    indexed = join_on(rows.withColumn("__local", local), broadcast_if_small(runs), [*keys, "__chunk"])
+    return indexed.select(*df.columns, (F.col("__before") + F.col("__local") - 1).cast("long").alias(pos))

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.index import series_index
-from tidemill.plans.sizing import PLAIN_LIMIT, group_sizes, shuffle_partitions
+from tidemill.plans.sizing import PLAIN_LIMIT, attach, group_sizes, shuffle_partitions
 
 MIN_CHUNK_ROWS = 4096
 
@@ -39,11 +39,14 @@ def strided_windows(
     chunk_rows: int | None = None,
     partitions: int | None = None,
     head: int | None = None,
+    wanted: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """One row per window start 0, s, 2s … with start + length + horizon <= rows.
 
     ``head=n`` cuts only the first ``n`` windows of each series; rows beyond them are
-    filtered by position before they are shuffled to chunks.
+    filtered by position before they are shuffled to chunks.  ``wanted`` makes the array
+    of wanted ordinals from a series' number of windows; only the rows of these windows
+    are shuffled, each window to a group of its own, and ordinals outside are ignored.
 
     Output: keys, ``start``, ``ordinal`` (start / stride), per column ``input_<c>``
     and ``target_<c>`` arrays, and each column of ``first`` at the window's first
@@ -62,10 +65,10 @@ def strided_windows(
     if size < window:
         raise ValueError(f"chunk_rows must be at least {window}")
 
-    spread = False
+    spread, source = False, df
     if pos is None:
-        wanted = list(dict.fromkeys([*keys, *order_by, *columns, *first, *extra]))
-        df = df.select(*wanted)
+        needed = list(dict.fromkeys([*keys, *order_by, *columns, *first, *extra]))
+        df = df.select(*needed)
         if strategy == "auto":
             largest, groups = group_sizes(df, keys)
             strategy = "plain" if largest <= plain_limit else "ranged"
@@ -77,26 +80,35 @@ def strided_windows(
         # What is left is a dense prefix that holds the wanted windows and no other.
         df = df.where(F.col(pos) < ((head - 1) * stride + window if head > 0 else 0))
 
-    home = whole(F.col(pos), size)
-    borrowed = (F.pmod(F.col(pos), F.lit(size)) < window - 1) & (home > 0)
+    if wanted is None:
+        home = whole(F.col(pos), size)
+        borrowed = (F.pmod(F.col(pos), F.lit(size)) < window - 1) & (home > 0)
+        homes = F.when(borrowed, F.array(home, home - 1)).otherwise(F.array(home))
+    else:
+        counts = window_counts(source, length, horizon, stride, keys)
+        known = F.filter(F.array_distinct(wanted(F.col("n"))), lambda o: (o >= 0) & (o < F.col("n")))
+        df = attach(df, counts.select(*keys, F.transform(known, lambda o: (o * stride).cast("long")).alias("__wanted")), keys)
+        homes = F.filter("__wanted", lambda begin: (F.col(pos) >= begin) & (F.col(pos) < begin + window))
     derived = dict(derived or {})
     arrays = [*columns, *derived]
     fields = list(dict.fromkeys([*columns, *first, *extra]))
     placed = df.select(
         *keys,
-        F.explode(F.when(borrowed, F.array(home, home - 1)).otherwise(F.array(home))).alias("__chunk"),
+        F.explode(homes).alias("__chunk"),
         F.struct(F.col(pos).alias("__at"), *[F.col(c) for c in fields]).alias("__row"),
     )
     if spread:
         placed = placed.repartition(shuffle_partitions(df.sparkSession), *keys, "__chunk")
     chunks = placed.groupBy(*keys, "__chunk").agg(F.sort_array(F.collect_list("__row")).alias("__rows"))
 
-    base = F.col("__chunk") * size
+    base = F.col("__chunk") * size if wanted is None else F.col("__chunk")
     begin = whole(base + (stride - 1), stride) * stride
     end = F.least(base + size - 1, base + F.size("__rows") - window)
     starts = F.when(begin <= end, F.sequence(begin, end, F.lit(stride).cast("long"))).otherwise(
         F.array().cast("array<bigint>")
     )
+    if wanted is not None:
+        starts = F.array(base)
     chunks = chunks.select(
         *keys,
         base.alias("__base"),
