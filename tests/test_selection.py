@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemill.functions.exact import cut, joined
-from tidemill.operators import completions, language, metrics, scale
+from tidemill.operators import completions, language, metrics, scale, split, windows
+from tidemill.operators.index import range_chunk
 from tidemill.operators.quantiles import group_quantiles
 from tidemill.plans import jobs
 from tidemill.streaming import telemetry
@@ -175,3 +176,25 @@ def test_texts_meet_the_profile_without_a_shuffle_of_trigrams(spark, folder):
     profile = language.language_profile(language.gram_counts(docs))
     plan = language.label_language(docs, profile, ["doc_id"])._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and plan.count("documents.parquet") == 1
+
+
+@pytest.mark.parametrize("keys", [["k"], []])
+def test_wanted_windows_are_those_cut_with_all_others(spark, keys):
+    df = spark.range(700).select(F.when(F.col("id") < 3, "c").when(F.col("id") % 7 == 0, "b").otherwise("a").alias("k"), F.col("id").alias("t"), (F.col("id") * 3 % 11).cast("double").alias("v"))
+    options = dict(order_by=["t"], keys=keys, stride=2, columns=["v"], first=["t"])
+    whole = split.first_middle_last(windows.strided_windows(df, 5, 3, **options), keys=keys)
+    alone = windows.strided_windows(df, 5, 3, wanted=split.ends_and_middle, **options)
+    far = windows.strided_windows(df, 5, 3, wanted=lambda n: F.array(n, F.lit(-1).cast("long"), F.lit(1).cast("long"), F.lit(1).cast("long")), **options)
+    key = lambda r: (str(r.asDict().get("k")), r.start)
+    assert sorted(alone.collect(), key=key) == sorted(whole.select(*alone.columns).collect(), key=key) and alone.count() == (6 if keys else 3)
+    assert {r.ordinal for r in far.collect()} == {1}
+
+
+def test_chunks_rise_with_keys_and_order(spark):
+    df = spark.range(5000).select(F.when(F.col("id") % 3 > 0, F.concat(F.lit("k"), F.col("id") % 3)).alias("k"), F.timestamp_micros(F.col("id") % 40 * 333_333).alias("t"), F.col("id"))
+    rows = df.withColumn("c", range_chunk(df, ["t", "id"], ["k"], 20)).collect()
+    ordered = [r.c for r in sorted(rows, key=lambda r: (r.k or "", r.t, r.id))]
+    assert ordered == sorted(ordered) and set(ordered) == set(range(20))
+    assert max(ordered.count(c) for c in range(20)) < 1000
+    empty = df.where("id < 0")
+    assert empty.withColumn("c", range_chunk(empty, ["t", "id"])).count() == 0

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemill.catalog.base import (
-    COMPLETIONS, PREDICTIONS, SEQUENCES, TEXT_TIME, completions, predictions, r6, rounded, sequences, series, table,
+    COMPLETIONS, KEYS, ORDER, POSITIONS, PREDICTIONS, SEQUENCES, TEXT_TIME, completions, predictions, r6, rounded, sequences, series, table,
 )
 from tidemill.functions import parsing as parse
-from tidemill.operators import completions as ops, metrics
+from tidemill.functions.text import fmt4
+from tidemill.operators import completions as ops, metrics, windows
 from tidemill.plans import jobs
 from tidemill.sources import io
 from tidemill.streaming import telemetry
@@ -147,6 +148,24 @@ def evaluate_job(spark, d):
     return rounded(jobs.evaluation_table(jobs.evaluate(predictions(spark, d), ["k"]), ["k"]), "value")
 
 
+FORECASTS = f"""SELECT k, pos AS index, value AS actual,
+  CASE WHEN pos % 5 <> 4 AND pos % 3 <> 1 THEN CAST(printf('%.4f', last) AS DOUBLE) END AS predicted
+FROM (SELECT *, lag(value) OVER (PARTITION BY k ORDER BY ts, id) AS last FROM ({POSITIONS})) WHERE pos >= 12"""
+
+
+@query(SQL["evaluate_job"].replace(PREDICTIONS, FORECASTS))
+def forecast_report(spark, d):
+    """Windows, their completions (some absent, some without a number), parsed values and all reports in one job."""
+    rolling = windows.rolling_frame(series(spark, d), 12, ORDER, KEYS)
+    last, style = fmt4(F.element_at("input_values", -1)), F.col("index") % 3
+    content = (
+        F.when(style == 0, F.concat(F.lit("予測値: "), last)).when(style == 1, F.lit("わかりません"))
+        .otherwise(F.concat(F.lit("about "), last, F.lit(" or 9")))
+    )
+    told = rolling.where("index % 5 <> 4").select("k", "index", content.alias("content"))
+    return rounded(jobs.evaluation_table(jobs.forecast_report(rolling, told, ["k", "index"], KEYS), KEYS), "value")
+
+
 # ---- telemetry ------------------------------------------------------------
 
 @query("""SELECT k, count(*) AS n_measurements, max(sec) AS duration, arg_max(sec, (value, -sec)) AS peak_timestamp, max(value) AS peak_used_mb,

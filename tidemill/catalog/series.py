@@ -311,20 +311,24 @@ _WINDOWS = windows_sql(10, 2, 1, x=TEXT_VALUE)
 _SIZED = f"SELECT k, start, start AS ordinal, count(*) OVER (PARTITION BY k) AS m FROM ({_WINDOWS})"
 
 
-def _samples(spark, d, head=None):
-    cut = windows.strided_windows(series(spark, d), 10, 2, ORDER, KEYS, columns=["value"], head=head)
+def _samples(spark, d, head=None, wanted=None):
+    cut = windows.strided_windows(series(spark, d), 10, 2, ORDER, KEYS, columns=["value"], head=head, wanted=wanted)
     return cut.select("k", "start", "ordinal")
 
 
+def _sample_counts(spark, d):
+    return windows.window_counts(series(spark, d), 10, 2, keys=KEYS)
+
+
 @query(f"SELECT k, start, ordinal, CASE WHEN ordinal < floor(m * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM ({_SIZED})")
 def ratio_split(spark, d):
-    return split.ratio_split(_samples(spark, d), 0.8, keys=KEYS)
+    return split.ratio_split(_samples(spark, d), 0.8, keys=KEYS, sizes=_sample_counts(spark, d))
 
 
 @query(f"""SELECT k, start, ordinal, CASE WHEN ordinal < floor(m * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'val' END AS split FROM ({_SIZED})
 WHERE ordinal >= floor(m * CAST(0.8 AS DOUBLE)) OR start + 12 <= floor(m * CAST(0.8 AS DOUBLE))""")
 def ratio_split_purged(spark, d):
-    return split.ratio_split(_samples(spark, d), 0.8, keys=KEYS, purge=True, window=12, stride=1)
+    return split.ratio_split(_samples(spark, d), 0.8, keys=KEYS, purge=True, window=12, sizes=_sample_counts(spark, d), stride=1)
 
 
 @query(f"""SELECT k, CAST(length AS INTEGER) AS length, CASE WHEN n >= length + 1 THEN n - length ELSE 0 END AS n_windows
@@ -335,12 +339,12 @@ def window_sweep(spark, d):
 
 @query(f"SELECT k, start, ordinal FROM ({_SIZED}) WHERE ordinal IN (0, m // 2, m - 1)")
 def first_middle_last(spark, d):
-    return split.first_middle_last(_samples(spark, d), keys=KEYS)
+    return _samples(spark, d, wanted=split.ends_and_middle)
 
 
 @query(f"SELECT k, start, ordinal FROM ({_SIZED}) WHERE ordinal IN (0, 26, 51)")
 def fixed_picks(spark, d):
-    return split.pick(_samples(spark, d, head=52), [0, 26, 51])
+    return _samples(spark, d, wanted=lambda n: F.array(*[F.lit(o).cast("long") for o in (0, 26, 51)]))
 
 
 @query(f"SELECT k, start, ordinal FROM ({_SIZED}) WHERE ordinal < 5")

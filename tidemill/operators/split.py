@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.functions.wording import ROWS_PER_MONTH
@@ -61,6 +61,11 @@ def ratio_split(
     return out.drop("__n")
 
 
+def ends_and_middle(n: Column) -> Column:
+    """The ordinals 0, n // 2 and n - 1, to be cut alone (``wanted`` of ``strided_windows``)."""
+    return F.array(F.lit(0).cast("long"), F.floor(n / 2), n - 1)
+
+
 def first_middle_last(
     df: DataFrame, ordinal: str = "ordinal", keys: Sequence[str] = (), sizes: DataFrame | None = None
 ) -> DataFrame:

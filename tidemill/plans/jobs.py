@@ -128,6 +128,11 @@ def forecast_frame(rolling: DataFrame, completion_table: DataFrame, on: Sequence
     return out.withColumn("predicted", parse.first_value(F.col("response")))
 
 
+def forecast_report(rolling: DataFrame, completion_table: DataFrame, on: Sequence[str], keys: Sequence[str] = (), **options) -> dict[str, DataFrame]:
+    """Windows and their completions to parsed forecasts and the reports of :func:`evaluate`, in one job."""
+    return evaluate(forecast_frame(rolling, completion_table, on), keys, on, **options)
+
+
 def evaluate(
     predictions: DataFrame, keys: Sequence[str] = (), id_columns: Sequence[str] = ("index",), bins: int = 30,
     strategy: str = "auto", plain_limit: int = PERCENTILE_LIMIT,
