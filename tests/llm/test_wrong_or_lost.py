@@ -2,6 +2,7 @@
 
 import zlib
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -17,6 +18,7 @@ from tidemill.llm.quality import fit_quality, quality_scores, score_quality
 from tidemill.llm.substring import dedup_substrings
 from tidemill.llm.topk import top_k
 from tidemill.llm.toxicity import toxicity_scores
+from tidemill.llm.warc import read_archives, write_archives
 
 TWIN = "".join("ab"[bin(i).count("1") % 2] for i in range(2048))
 OTHER = TWIN.translate(str.maketrans("ab", "ba"))
@@ -86,3 +88,25 @@ def test_users_columns_come_back_as_they_were(spark, named):
         assert len(rows) == 7 and right([r.row for r in rows])
     for scored in (quality_scores(named, labels), toxicity_scores(named, labels)):
         assert scored.count() == 7
+
+
+def test_items_are_found_alike_by_broadcast_and_by_dealt_joins(spark, folder):
+    items = spark.read.parquet(f"{folder}/benchmark.parquet")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    docs = docs.union(docs.selectExpr("doc_id + 100000", "text")).union(docs.limit(5).selectExpr("CAST(NULL AS LONG)", "text"))
+    found = [
+        sorted((r.row.doc_id or -1, r.row.text or "", r["items"]) for r in contaminated(docs, items, **options).collect())
+        for options in ({}, {"broadcast_seeds": 0}, {"broadcast_seeds": 0, "hits_in_task": 3})
+    ]
+    assert found[0] == found[1] == found[2] and any(r[2] for r in found[0])
+
+
+def test_archives_of_a_lost_attempt_are_not_read(spark):
+    pages = spark.createDataFrame([(i, f"http://x/{i % 7}", "p" * (90 + i % 30)) for i in range(200)], "page_id long, url string, html string").repartition(4)
+    target, manifest = write_archives(pages)
+    whole = sorted(r.page_id for r in read_archives(spark, target).collect())
+    archives = sorted(Path(target.removeprefix("file://")).glob("*.warc.zst"))
+    (archives[0].parent / "part-000000-lost-0000.warc.zst").write_bytes(archives[0].read_bytes())
+    (archives[0].parent / "part-000001-lost-0000.warc.zst").write_bytes(archives[1].read_bytes()[:100])
+    assert whole == list(range(200)) == sorted(r.page_id for r in read_archives(spark, target).collect())
+    assert manifest.count() == len(archives) and manifest.agg(F.sum("records")).first()[0] == 200

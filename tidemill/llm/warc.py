@@ -92,6 +92,8 @@ def records(archive: bytes):
         yield headers, block
 
 
+#: Name of the table of archives in their folder, and its columns.
+MANIFEST, _LISTED = "manifest", "path string, records long, bytes long"
 _MANIFEST = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
 
 
@@ -101,19 +103,17 @@ def _writer(folder: str, dictionary: bytes):
         packed = zstandard.ZstdCompressionDict(dictionary)
         packed.precompute_compress(level=3)
         compressor, front = zstandard.ZstdCompressor(dict_data=packed), opening(dictionary)
-        task, number = TaskContext.get(), 0
+        # Names are this attempt's own; only those of attempts that Spark commits get into the manifest.
+        task, attempt, number = TaskContext.get(), uuid.uuid4().hex, 0
         parts, size = [], 0
 
         def close():
-            # Under a name of this attempt first: a lost attempt leaves no half archive behind the final name.
             nonlocal number, parts, size
-            name = f"{root}/part-{task.partitionId():06d}-{number:04d}.warc.zst"
-            own = f"{root}/_{uuid.uuid4().hex}"
-            with target.open_output_stream(own, compression=None) as out:
+            name = f"part-{task.partitionId():06d}-{attempt}-{number:04d}.warc.zst"
+            with target.open_output_stream(f"{root}/{name}", compression=None) as out:
                 out.write(front)
                 for part in parts:
                     out.write(part)
-            target.move(own, name)
             closed = rows(_MANIFEST, [name], [len(parts)], [size + len(front)])
             number, parts, size = number + 1, [], 0
             return closed
@@ -140,8 +140,9 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
 
     Of pages with equal payloads of at least ``REVISIT_BYTES`` bytes the one with the smallest page_id is a response
     and the others revisits of it, which hold no payload. Digests are grouped without the payloads, and only the
-    revisits go back to the pages. A task writes its archives under final names that do not change when it runs
-    again. Archives are written through Arrow's file systems, so ``folder`` must be one of theirs.
+    revisits go back to the pages. Archives bear names of the attempt that wrote them, and the manifest, a table in
+    ``folder``, lists those of committed attempts: what lost or repeated attempts leave behind is never read. Paths in
+    it are names within ``folder``. Archives are written through Arrow's file systems, so ``folder`` must be one of theirs.
 
     Null html is an empty payload, a null url leaves out the target. Rows with a null page_id are never referred to
     while an id with that payload exists, and rows that repeat a page_id with one payload are all responses if it is
@@ -167,8 +168,8 @@ def write_archives(pages: DataFrame, folder: str | None = None) -> tuple[str, Da
     chosen = pages.select(F.col("page_id").alias("_id")).where("_id IS NOT NULL").distinct().orderBy(F.xxhash64("_id"), "_id").limit(SAMPLES)
     sample = pages.join(F.broadcast(chosen), F.col("page_id") == F.col("_id"), "left_semi").select("page_id", "url", start).limit(2 * SAMPLES).collect()
     texts = [record(r.page_id, r.url, (r.html or "").encode(), "0" * 64) for r in sample]
-    manifest = stored(joined.mapInArrow(_writer(folder, trained(texts)), "path string, records long, bytes long"), "manifest")
-    return folder, manifest
+    joined.mapInArrow(_writer(folder, trained(texts)), _LISTED).write.parquet(f"{folder}/{MANIFEST}")
+    return folder, spark.read.schema(_LISTED).parquet(f"{folder}/{MANIFEST}")
 
 
 _READ = pa.schema([
@@ -177,34 +178,59 @@ _READ = pa.schema([
 ])
 
 
-def _reader(batches):
-    for batch in batches:
-        for content in named(batch, "content"):
+def _reader(folder: str):
+    def contents(batch):
+        if "content" in batch.schema.names:
+            yield from (c.as_buffer().to_pybytes() for c in named(batch, "content"))
+            return
+        source, root = fs.FileSystem.from_uri(folder)
+        for name in named(batch, "path").to_pylist():
+            with source.open_input_stream(f"{root}/{name}", compression=None) as stream:
+                yield stream.read()
+
+    def run(batches):
+        for batch in batches:
+            for content in contents(batch):
+                yield from _read(content)
+
+    return run
+
+
+def _read(content: bytes):
+    out, held = [], 0
+    for head, block in records(content):
+        http, _, payload = block.partition(b"\r\n\r\n")
+        size = int(http.rpartition(b"Content-Length: ")[2])
+        revisit = head["WARC-Type"] == "revisit"
+        digest = head["WARC-Payload-Digest"].removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest()
+        if not revisit and (digest != head["WARC-Payload-Digest"].removeprefix("sha256:") or len(payload) != size):
+            raise ValueError(f"payload of {head['WARC-Record-ID']} is damaged")
+        out.append((
+            page_of(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), None if revisit else payload, size, digest,
+            head["WARC-Type"], page_of(head["WARC-Refers-To"]) if revisit else None,
+        ))
+        held += len(payload)
+        if held > 4_000_000:
+            yield rows(_READ, *zip(*out))
             out, held = [], 0
-            for head, block in records(content.as_buffer().to_pybytes()):
-                http, _, payload = block.partition(b"\r\n\r\n")
-                size = int(http.rpartition(b"Content-Length: ")[2])
-                revisit = head["WARC-Type"] == "revisit"
-                digest = head["WARC-Payload-Digest"].removeprefix("sha256:") if revisit else hashlib.sha256(payload).hexdigest()
-                if not revisit and (digest != head["WARC-Payload-Digest"].removeprefix("sha256:") or len(payload) != size):
-                    raise ValueError(f"payload of {head['WARC-Record-ID']} is damaged")
-                out.append((
-                    page_of(head["WARC-Record-ID"]), head.get("WARC-Target-URI"), None if revisit else payload, size, digest,
-                    head["WARC-Type"], page_of(head["WARC-Refers-To"]) if revisit else None,
-                ))
-                held += len(payload)
-                if held > 4_000_000:
-                    yield rows(_READ, *zip(*out))
-                    out, held = [], 0
-            if out:
-                yield rows(_READ, *zip(*out))
+    if out:
+        yield rows(_READ, *zip(*out))
 
 
 def read_archives(spark, folder: str) -> DataFrame:
-    """Every record: ``page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to``; digests are checked."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
+    """Every record: ``page_id, url, payload, payload_bytes, payload_digest, record_type, refers_to``; digests are checked.
+
+    The archives are those of the folder's manifest, which tasks open by name; of a folder without one, all ``*.warc.zst``.
+    """
+    source, root = fs.FileSystem.from_uri(folder)
+    if source.get_file_info(f"{root}/{MANIFEST}").type == fs.FileType.Directory:
+        listed = spark.read.schema(_LISTED).parquet(f"{folder}/{MANIFEST}")
+        tasks = max(1, min(listed.count(), 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+        files = listed.select("path").repartition(tasks, "path")
+    else:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder).select("content")
     return files.mapInArrow(
-        _reader, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
+        _reader(folder), "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
     )
 
 
