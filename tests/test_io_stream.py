@@ -130,3 +130,30 @@ def test_stream_equals_batch(spark, folder, tmp_path):
     batch = telemetry.telemetry_stream(usage(events), "ts", keys=["k"])
     got = spark.table("usage")
     assert batch.count() > 0 and got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+
+
+def test_a_missing_target_raises_whatever_is_read(spark, tmp_path):
+    (tmp_path / "m.csv").write_text("date,OT\n2024-01-01 00:00:00,1.5\n2024-01-01 01:00:00,\n")
+    df = io.read_multivariate_csv(spark, str(tmp_path / "m.csv"), "date TIMESTAMP_NTZ, OT DOUBLE")
+    for action in (df.count, df.select("date").collect, df.collect):
+        with pytest.raises(Exception, match="column OT has missing values"):
+            action()
+
+
+def test_bad_rows_are_set_aside_with_their_file(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text("timestamp,value\n2024-01-01 00:00:00,1.5\nyesterday,2\n2024-01-01 02:00:00,\n")
+    (tmp_path / "in" / "b.csv").write_text("timestamp,value\n2024-01-02 00:00:00,x\n2024-01-02 01:00:00,4\n")
+    rows, rejects = io.load_series_csv(spark, str(tmp_path / "in"), required=["value"])
+    assert sorted(r.value for r in rows.collect()) == [1.5, 4.0] and rows.count() == 2
+    got = sorted((r.file.rsplit("/", 1)[1], r.reason, r.record) for r in rejects.collect())
+    assert [g[:2] for g in got] == [("a.csv", "malformed"), ("a.csv", "no value"), ("b.csv", "malformed")]
+    assert got[0][2] == "yesterday,2" and got[2][2] == "2024-01-02 00:00:00,x" and rejects.count() == 3
+    good, none = io.load_series_csv(spark, str(tmp_path / "in"))
+    assert good.count() == 3 and none.count() == 2
+
+
+def test_report_rows_come_back_as_json_lines(spark, tmp_path):
+    df = spark.createDataFrame([("a", 1.5, None), ("b", None, 2)], "k STRING, mae DOUBLE, n LONG")
+    io.write_report(df, str(tmp_path / "r"))
+    assert sorted(spark.read.schema(df.schema).json(str(tmp_path / "r")).collect()) == sorted(df.collect())

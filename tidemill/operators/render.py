@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemill.functions import prompts as p
 from tidemill.functions.text import fmt4, time_text
 from tidemill.operators.windows import strided_windows
+from tidemill.plans.sizing import materialize
 
 
 def _is_text(df: DataFrame, column: str) -> bool:
@@ -145,8 +146,10 @@ def drop_long_prompts(df: DataFrame, quantile: float = 0.9, length: str | None =
     """Keep prompts no longer than the (truncated) length quantile of all prompts.
 
     ``length`` names a token-count column; without it characters are counted.  The
-    exact quantile holds one counter per distinct length, so it stays small.
+    exact quantile holds one counter per distinct length, so it stays small.  The
+    prompts are made and measured once: they are stored with their length, the
+    quantile reads that column alone, and the long ones are left out on reading.
     """
-    size = F.col(length) if length else F.length(prompt)
-    limit = df.agg(F.floor(F.percentile(size, F.lit(quantile))).alias("limit"))
-    return df.where(size <= limit.scalar())
+    told = materialize(df.withColumn("__size", F.col(length) if length else F.length(prompt)))
+    limit = told.agg(F.floor(F.percentile("__size", F.lit(quantile))).alias("limit"))
+    return told.where(F.col("__size") <= limit.scalar()).drop("__size")

@@ -10,11 +10,13 @@ from pyspark.sql import types as T
 
 from tidemill.functions.wording import ETT_COLUMNS
 from tidemill.operators.profile import missing
+from tidemill.plans.sizing import materialize
 
 SERIES_SCHEMA = "timestamp TIMESTAMP_NTZ, value DOUBLE"
 ETT_SCHEMA = "date TIMESTAMP_NTZ, " + ", ".join(f"{c} DOUBLE" for c in ETT_COLUMNS[1:])
 SAMPLE_SCHEMA = "instruction STRING, output STRING, input_values ARRAY<DOUBLE>, target_values ARRAY<DOUBLE>"
 PREDICTION_SCHEMA = "index BIGINT, timestamp STRING, actual DOUBLE, predicted DOUBLE, response STRING"
+_RECORD = "__record"
 # CSV text spans lines and holds quotes; doubling them is what other readers expect.
 CSV_TEXT = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
 
@@ -32,12 +34,33 @@ def read_series_csv(spark: SparkSession, path: str, schema: str | T.StructType =
 def read_multivariate_csv(
     spark: SparkSession, path: str, schema: str | T.StructType = ETT_SCHEMA, target: str = "OT"
 ) -> DataFrame:
-    """Typed multivariate series; a missing target value is an error."""
+    """Typed multivariate series; a missing target value is an error, whatever columns are read later."""
     df = read_series_csv(spark, path, schema)
     df = df.withColumn(target, F.col(target).cast("double"))
-    # Checked as the rows are read, so the file is read once.
-    none = F.raise_error(F.lit(f"column {target} has missing values")).cast("double")
-    return df.withColumn(target, F.when(missing(df, target), none).otherwise(F.col(target)))
+    # A condition on the rows, not on a column: no plan can prune it, and the file is read once.
+    none = F.raise_error(F.lit(f"column {target} has missing values")).cast("boolean")
+    return df.where(F.when(missing(df, target), none).otherwise(F.lit(True)))
+
+
+def load_series_csv(
+    spark: SparkSession, path: str, schema: str = SERIES_SCHEMA, required: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects) of a series file that may hold bad rows.
+
+    Every cell is parsed once and the result stored, so that no later plan can prune a check.  A row with a malformed
+    cell, or without a value in a ``required`` column, goes to ``rejects`` (file, record, reason); the record is its
+    text, or its values as JSON where only a value is missing.  A header that differs from the schema is an error.
+    """
+    reader = spark.read.schema(f"{schema}, {_RECORD} STRING").options(header=True, enforceSchema=False, columnNameOfCorruptRecord=_RECORD)
+    df = reader.csv(path).withColumn("__file", F.col("_metadata.file_path"))
+    columns = [c for c in df.columns if c not in (_RECORD, "__file")]
+    reason = F.when(F.col(_RECORD).isNotNull(), F.lit("malformed"))
+    for c in required:
+        reason = reason.when(missing(df, c), F.lit(f"no {c}"))
+    told = materialize(df.withColumn("__reason", reason))
+    record = F.coalesce(F.col(_RECORD), F.to_json(F.struct(*columns)))
+    rejects = told.where("__reason IS NOT NULL").select(F.col("__file").alias("file"), record.alias("record"), F.col("__reason").alias("reason"))
+    return told.where("__reason IS NULL").select(*columns), rejects
 
 
 def read_predictions_csv(spark: SparkSession, path: str) -> DataFrame:
