@@ -110,3 +110,22 @@ def test_archives_of_a_lost_attempt_are_not_read(spark):
     (archives[0].parent / "part-000001-lost-0000.warc.zst").write_bytes(archives[1].read_bytes()[:100])
     assert whole == list(range(200)) == sorted(r.page_id for r in read_archives(spark, target).collect())
     assert manifest.count() == len(archives) and manifest.agg(F.sum("records")).first()[0] == 200
+
+
+def test_only_runs_of_enough_repeated_words_go(spark):
+    passage = [f"Sentence number {k} of a passage that is copied." for k in range(4)]
+    texts = [
+        (1, " ".join(passage)),
+        (2, f"New words. {passage[1]} More of them."),
+        (3, f"Lead. {passage[0]}\n\n{passage[1]} {passage[2]} Tail."),
+        (4, f"{passage[0]} Between. {passage[1]} {passage[2]}"),
+        (5, "重复的段落没有空格" * 30), (6, "新的开头\n" + "重复的段落没有空格" * 30), (7, None), (8, "Short. Short. Short."),
+    ]
+    rows = {r.row.doc_id: r for r in dedup_substrings(spark.createDataFrame(texts, "doc_id long, text string"), run_words=25).collect()}
+    assert [rows[k].kept_text for k in (1, 2, 4, 5, 7, 8)] == [dict(texts)[k] for k in (1, 2, 4, 5, 7, 8)]
+    assert rows[3].kept_text == "Lead.\n\n Tail." and rows[6].kept_text == "新的开头\n"
+    for r in rows.values():
+        left = list(r.row.text or "")
+        for s in reversed(r.removed):
+            del left[s.start:s.end]
+        assert "".join(left) == (r.kept_text or "")

@@ -11,7 +11,7 @@ from tidemill.llm.licenses import license_scan
 from tidemill.llm.near_dup import near_duplicates
 from tidemill.llm.packing import packed_documents
 from tidemill.llm.quality import quality_scores
-from tidemill.llm.substring import dedup_substrings
+from tidemill.llm.substring import PASSAGE_WORDS, dedup_substrings
 from tidemill.llm.suffix import byte_digests
 from tidemill.llm.topk import top_k
 from tidemill.llm.toxicity import toxicity_scores
@@ -52,15 +52,17 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_substring_dedup", r"""WITH units AS (
   SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS pos
   FROM (SELECT doc_id, regexp_extract_all(text, '\n|[^.!?\n]+[.!?]*|[.!?]+') AS parts FROM documents)),
-keyed AS (SELECT *, trim(regexp_replace(lower(part), '[ \t\r\f\v]+', ' ', 'g'), ' ') AS plain FROM units),
-ranked AS (SELECT *, length(plain) - length(replace(plain, ' ', '')) + 1 >= 4
-  AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, pos) > 1 AS gone FROM keyed),
+keyed AS (SELECT *, trim(regexp_replace(lower(part), '[ \t\r\n\f\v]+', ' ', 'g'), ' ') AS plain FROM units),
+ranked AS (SELECT *, plain <> '' AND row_number() OVER (PARTITION BY plain ORDER BY doc_id, pos) > 1 AS again,
+  greatest(length(plain) - length(replace(plain, ' ', '')) + 1, length(plain) // 8) AS words FROM keyed),
+runs AS (SELECT *, sum(CAST(NOT again AND plain <> '' AS INT)) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM ranked),
+judged AS (SELECT *, again AND sum(words) FILTER (again) OVER (PARTITION BY doc_id, run) >= 25 AS gone FROM runs),
 cut AS (SELECT doc_id, sum(length(part)) FILTER (gone) AS removed,
-  coalesce(string_agg(part, '' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM ranked GROUP BY doc_id)
+  coalesce(string_agg(part, '' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM judged GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(c.removed, 0) AS BIGINT) AS n_removed, md5(coalesce(c.kept, d.text)) AS kept_md5
 FROM documents d LEFT JOIN cut c USING (doc_id)""")
 def op3(spark: SparkSession, folder: str) -> DataFrame:
-    cut = dedup_substrings(_table(spark, folder, "documents"))
+    cut = dedup_substrings(_table(spark, folder, "documents"), run_words=PASSAGE_WORDS)
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
     return cut.select(F.col("row.doc_id").alias("doc_id"), gone.alias("n_removed"), F.md5("kept_text").alias("kept_md5"))
 
