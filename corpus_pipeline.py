@@ -14,7 +14,7 @@ from tidemill.llm.near_dup import without_near_duplicates
 from tidemill.llm.packing import packed_documents
 from tidemill.llm.quality import fit_quality, score_quality
 from tidemill.llm.shared import crc_bucket, stored
-from tidemill.llm.substring import dedup_substrings
+from tidemill.llm.substring import PASSAGE_WORDS, dedup_substrings
 
 #: Learned models and fuzzy alignments are beyond SQL; tests/llm compares every stage with a brute-force version.
 ORACLE_SQL = None
@@ -33,9 +33,10 @@ def near_dup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the units that stand earlier; ``n_chars`` follows the text. A text cut to nothing stays, empty."""
+    """Documents without the passages that stand earlier; ``n_chars`` follows the text. A text cut to nothing stays, empty."""
     names = docs.columns
-    cut = dedup_substrings(docs).select(*(F.col("row")[c].alias(c) for c in names if c != "text"), F.col("kept_text").alias("text"), "removed")
+    cut = dedup_substrings(docs, run_words=PASSAGE_WORDS)
+    cut = cut.select(*(F.col("row")[c].alias(c) for c in names if c != "text"), F.col("kept_text").alias("text"), "removed")
     if "n_chars" in names:
         length = F.length("text").cast(docs.schema["n_chars"].dataType)
         cut = cut.withColumn("n_chars", F.when(F.size("removed") > 0, length).otherwise(F.col("n_chars")))
