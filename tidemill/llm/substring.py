@@ -20,8 +20,6 @@ RUN_WORDS = 4
 PASSAGE_WORDS = 25
 #: So many characters count as a word at least, for scripts without spaces.
 WORD_CHARS = 8
-#: First places are sent to every task up to so many (about 60 bytes each); more of them are joined by a shuffle.
-FIRST_ROWS = 500_000
 _SPANS = T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType())]))
 _SPACE = " \t\r\n\f\v"
 
@@ -49,10 +47,8 @@ def repeated_units(units: DataFrame) -> DataFrame:
         units.groupBy("digest").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1").select("digest", "first"),
         "first",
     )
-    if first.count() <= FIRST_ROWS:
-        first = F.broadcast(first)
-    # Otherwise both sides are plain scans of the join key, so adaptive execution can split a digest met very often.
-    return units.join(first, "digest").where(place > F.col("first")).select("key", "pos", "words")
+    # The same join at every size. Both sides are plain scans of the join key, so adaptive execution can split a digest met very often.
+    return units.join(first.hint("merge"), "digest").where(place > F.col("first")).select("key", "pos", "words")
 
 
 def runs(units: list[tuple[int, int, bool]], words: dict[int, int], least: int) -> list[list[int]]:
