@@ -129,3 +129,20 @@ def test_only_runs_of_enough_repeated_words_go(spark):
         for s in reversed(r.removed):
             del left[s.start:s.end]
         assert "".join(left) == (r.kept_text or "")
+
+
+def test_ids_equal_those_of_tokenizers():
+    import random
+
+    import pyarrow as pa
+
+    from tidemill.llm.packing import Tokens
+    from tidemill.llm.shared import text_bytes
+
+    plain_tokens = Tokenizer.from_file(str(public_tokenizers.path("byte_bpe_50k.json")))
+    parts = [" ", "  ", "\n", "\t", "\r\n", "a", "b", "The", "'s", "12", "é", "重", "<|endoftext|>", "<|", "!", "..", "\x1c", "\u0085", " ", "　", "x" * 70]
+    draw, tokens = random.Random(5), Tokens()
+    for _ in range(20):
+        texts = ["".join(draw.choices(parts, k=draw.randrange(30))) for _ in range(100)]
+        got = tokens.batch(*text_bytes(pa.array(texts)))
+        assert [ids.tolist() for ids in got] == [plain_tokens.encode(t, add_special_tokens=False).ids for t in texts]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import os
+import base64
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -114,18 +114,23 @@ class Tokens:
 
     _ODD = [b"\xc2\x85", b"\xc2\xa0", b"\xe1\x9a\x80", b"\xe2\x80", b"\xe2\x81\x9f", b"\xe3\x80\x80", b"\x1c", b"\x1d", b"\x1e", b"\x1f"]
 
-    def __init__(self, vocabulary: str | None = None):
+    def __init__(self, ranks: str | None = None):
         import public_tokenizers
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        # Spark's tasks are the only parallelism.
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tokenizer = Tokenizer.from_file(str(vocabulary or public_tokenizers.path("byte_bpe_50k.json")))
+        with open(ranks or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb") as lines:
+            table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+        special = {"<|endoftext|>": len(table)}
+        self.encoding = tiktoken.Encoding("bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=table, special_tokens=special)
         self.known: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, as bytes."""
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def encode(self, text: str) -> np.ndarray:
+        return np.array(self.encoding.encode(text, allowed_special="all"), np.uint32)
+
+    def _chunk(self, raw: bytes) -> bytes:
+        text = raw.decode()
+        ids = self.encoding.encode(text, allowed_special="all") if "<|" in text else self.encoding.encode_ordinary(text)
+        return np.array(ids, np.uint32).tobytes()
 
     def batch(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         """Ids of every text."""
@@ -144,41 +149,41 @@ class Tokens:
         end = np.append(start[1:], len(raw))
         if len(self.known) > REMEMBERED:
             self.known = {}
+        known, ids = self.known, []
+        for a, b in zip(start.tolist(), end.tolist()):
+            chunk = data[a:b]
+            got = known.get(chunk)
+            if got is None:
+                got = self._chunk(chunk)
+                if len(chunk) <= LONGEST:
+                    known[chunk] = got
+            ids.append(got)
         bound = np.searchsorted(start, offsets).tolist()
-        chunks = [data[a:b] for a, b in zip(start.tolist(), end.tolist())]
-        new = list(set(chunks).difference(self.known))
-        once = dict(zip(new, self.encode([c.decode() for c in new])))
-        whole = iter(self.encode([data[a:b].decode() for o, a, b in zip(odd, offsets[:-1], offsets[1:]) if o]))
-        known = self.known
-        known.update(once)
-        out = [
-            np.frombuffer(next(whole) if o else b"".join([known[c] for c in chunks[i:j]]), "<u4") for o, i, j in zip(odd, bound[:-1], bound[1:])
+        return [
+            self.encode(data[a:b].decode()) if o else np.frombuffer(b"".join(ids[i:j]), np.uint32)
+            for o, a, b, i, j in zip(odd, offsets[:-1], offsets[1:], bound[:-1], bound[1:])
         ]
-        for c in once:
-            if len(c) > LONGEST:
-                del known[c]
-        return out
 
 
 _tokens: dict = {}
 
 
-def tokens(vocabulary: str | None = None) -> Tokens:
+def tokens(ranks: str | None = None) -> Tokens:
     """The tokeniser of this worker, loaded once."""
-    if vocabulary not in _tokens:
-        _tokens[vocabulary] = Tokens(vocabulary)
-    return _tokens[vocabulary]
+    if ranks not in _tokens:
+        _tokens[ranks] = Tokens(ranks)
+    return _tokens[ranks]
 
 
 _PIECE = pa.schema([(c, pa.int64()) for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")])
 
 
-def _pieces(limits: Limits, vocabulary: str | None):
+def _pieces(limits: Limits, ranks: str | None):
     whole = min(limits.tokens, limits.loss)
 
     def run(batches):
         number = TaskContext.get().partitionId() << 36
-        packer, tokeniser = Packer(limits), tokens(vocabulary)
+        packer, tokeniser = Packer(limits), tokens(ranks)
 
         def written(sequences):
             nonlocal number
@@ -212,7 +217,7 @@ def _pieces(limits: Limits, vocabulary: str | None):
     return run
 
 
-def packed_documents(docs: DataFrame, limits: Limits = Limits(), vocabulary: str | None = None) -> DataFrame:
+def packed_documents(docs: DataFrame, limits: Limits = Limits(), ranks: str | None = None) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: the pieces of all documents.
 
     A document is its ids and the end id, all of them bearing loss. Stretches of a full sequence are sequences of
@@ -224,7 +229,7 @@ def packed_documents(docs: DataFrame, limits: Limits = Limits(), vocabulary: str
     Empty table: no rows. Other columns are ignored.
     """
     return in_batches(docs).select(F.col("doc_id").cast("long"), "text").mapInArrow(
-        _pieces(limits, vocabulary), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+        _pieces(limits, ranks), "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )
 
 
