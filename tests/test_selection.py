@@ -45,6 +45,25 @@ def test_selected_quantiles_without_keys_or_rows(spark, crowded):
     assert group_quantiles(finite.limit(0), "v", PROBS, ["k"], "ranged").collect() == []
 
 
+def test_columns_are_selected_together(spark, monkeypatch):
+    """Rows are stored as they are, not once a column; crowded values, gaps and several columns give the built-in's doubles."""
+    from tidemill.operators import quantiles
+
+    rows = spark.range(4000).selectExpr(
+        "IF(id % 5 = 0, NULL, id % 3) AS k", "CAST(id % 11 AS DOUBLE) / 100 AS few", "CAST(id * 7919 % 4001 AS DOUBLE) AS many",
+        "IF(id % 3 = 1, NULL, IF(id % 4 = 0, CAST('NaN' AS DOUBLE), CAST(id * id % 97 AS DOUBLE))) AS gaps",
+    )
+    stored, write = [], quantiles.materialize
+    monkeypatch.setattr(quantiles, "materialize", lambda df: stored.append(write(df)) or stored[-1])
+    names = ["few", "many", "gaps"]
+    plain = {r.k: r[1:] for r in quantiles.column_quantiles(rows, names, PROBS, ["k"], "plain").collect()}
+    for bracket_rows in (1, 10**6):
+        assert {r.k: r[1:] for r in quantiles.column_quantiles(rows, names, PROBS, ["k"], "ranged", bracket_rows=bracket_rows).collect()} == plain
+    params = lambda s: {tuple(r) for r in scale.fit_scaler(rows, "robust", names, ["k"], strategy=s).collect()}
+    assert params("ranged") == params("plain")
+    assert max(t.count() for t in stored) == 4000
+
+
 def test_a_series_without_values_keeps_its_rows(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0), ("a", 2.0, 4.0), ("b", None, 1.0), ("b", 1.0, None)], "k string, actual double, predicted double")
     for strategy in ("plain", "ranged"):

@@ -7,10 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemill.plans.sizing import PERCENTILE_LIMIT, attach, join_on, materialize, pick_strategy
+from tidemill.plans.sizing import PERCENTILE_LIMIT, attach, materialize, pick_strategy
 
-# A round cuts the bracket of a quantile to about three of these cells; the sketch's error is far below one.
-CELLS, ACCURACY = 64, 2_000
+# Every quantile is bracketed by a sketch whose error is half of NEAR in rank; groups too small for that take FAR around it.
+ACCURACY = 5_000
+NEAR, FAR, SPARE_ROWS = 2 / ACCURACY, 1 / 32, 4
+# A bracket that still holds too many rows is cut by a sketch of its rows, to about three of these cells.
+CELLS, CELL_ACCURACY = 256, 2_000
 
 
 def group_quantiles(
@@ -25,27 +28,55 @@ def group_quantiles(
 ) -> DataFrame:
     """One row per group with ``q`` = array of quantiles of the non-missing values, NULL for a group without any.
 
+    See :func:`column_quantiles`.
+    """
+    q = column_quantiles(df, [value], probs, keys, strategy, plain_limit, partitions, bracket_rows)
+    return q.select(*keys, F.col("__q0").alias("q"))
+
+
+def column_quantiles(
+    df: DataFrame,
+    values: Sequence[str],
+    probs: Sequence[float],
+    keys: Sequence[str],
+    strategy: str = "auto",
+    plain_limit: int = PERCENTILE_LIMIT,
+    partitions: int | None = None,
+    bracket_rows: int = PERCENTILE_LIMIT,
+) -> DataFrame:
+    """One row per group with ``__q0``, ``__q1`` … = the quantiles of each of the columns ``values``.
+
     Small groups use the built-in ``percentile``, which holds the distinct values of a group in one task. Bigger ones
     are selected by rank: a sketch brackets every quantile, the rows below and inside each bracket are counted
     exactly, and so on inside the bracket until it holds at most ``bracket_rows`` rows; only those are sorted. No
     group is shuffled whole, and every round is one aggregate that is combined before the shuffle. The rounds read
-    a stored table of keys and values, dealt over ``partitions`` if given.
+    a stored table of keys and values, dealt over ``partitions`` if given: all columns of a row at once.
     """
-    x = F.col(value).cast("double")
-    data = df.select(*keys, F.when(~F.isnan(x), x).alias("__x"))
-    if pick_strategy(strategy, data, keys, plain_limit) == "plain":
-        q = F.percentile("__x", F.array(*[F.lit(float(p)) for p in probs]))
-        return data.groupBy(*keys).agg(q.alias("q"))
-    data = data.repartition(partitions) if partitions else data
-    return _selected(materialize(data), [float(p) for p in probs], list(keys), bracket_rows)
+    every = range(len(values))
+    cells = [F.when(~F.isnan(x), x).alias(f"__x{c}") for c, x in enumerate(F.col(v).cast("double") for v in values)]
+    data = df.select(*keys, *cells)
+    probs = [float(p) for p in probs]
+    if pick_strategy(strategy, data, keys, plain_limit) == "ranged":
+        data = data.repartition(partitions) if partitions else data
+        return _selected(materialize(data), len(values), probs, list(keys), bracket_rows)
+    if len(values) == 1:
+        return data.groupBy(*keys).agg(_builtin("__x0", probs).alias("__q0"))
+    # One group a column, so that a task holds the distinct values of one column at a time.
+    entries = F.array(*[F.struct(F.lit(c).alias("__c"), F.col(f"__x{c}").alias("__x")) for c in every])
+    q = data.select(*keys, F.inline(entries)).groupBy(*keys, "__c").agg(_builtin("__x", probs).alias("__q"))
+    return q.groupBy(*keys).agg(*[F.max(F.when(F.col("__c") == c, F.col("__q"))).alias(f"__q{c}") for c in every])
 
 
-def _sketch(x: Column) -> Column:
-    return F.percentile_approx(x, F.array(*[F.lit(c / CELLS) for c in range(CELLS + 1)]), ACCURACY)
+def _builtin(x: str, probs: Sequence[float]) -> Column:
+    return F.percentile(x, F.array(*[F.lit(p) for p in probs]))
 
 
-def _rank(p: float) -> Column:
-    return F.lit(p) * (F.col("__n") - 1)
+def _points(probs: Sequence[float]) -> list[float]:
+    return [min(1.0, max(0.0, p + side)) for p in probs for side in (-FAR, -NEAR, NEAR, FAR)]
+
+
+def _sketch(x: Column, points: Sequence[float], accuracy: int) -> Column:
+    return F.percentile_approx(x, F.array(*[F.lit(p) for p in points]), accuracy)
 
 
 def _cell(grid: Column, rank: Column, rows: Column, low: Column, high: Column) -> tuple[Column, Column]:
@@ -54,81 +85,131 @@ def _cell(grid: Column, rank: Column, rows: Column, low: Column, high: Column) -
     return F.coalesce(F.get(grid, cell(F.floor(rank)) - 1), low), F.coalesce(F.get(grid, cell(F.ceil(rank) + 1) + 2), high)
 
 
-def _selected(data, probs, keys, bracket_rows):
-    every = range(len(probs))
-    x = F.col("__x")
+class _Bracket:
+    """The columns of one quantile: column ``c`` of the data, probability ``i``."""
+
+    def __init__(self, c: int, i: int, p: float):
+        self.c, self.i, self.tag = c, i, f"{c}_{i}"
+        self.x, self.n, self.rank = F.col(f"__x{c}"), F.col(f"__n{c}"), F.lit(p) * (F.col(f"__n{c}") - 1)
+        self.lo, self.hi, self.min, self.max, self.hit = (F.col(self.name(s)) for s in ("lo", "hi", "min", "max", "hit"))
+        self.below, self.upto_lo, self.below_hi, self.upto_hi = (F.col(self.name(s)) for s in self.counts())
+        # The rows of both ends are counted: however many have one value, only those between are work.
+        self.between = (self.x > self.lo) & (self.x < self.hi)
+        inner = (F.ceil(self.rank) >= self.upto_lo) & (F.floor(self.rank) < self.below_hi)
+        self.work = F.when(self.hit, F.when(inner, F.greatest(self.below_hi - self.upto_lo, F.lit(0))).otherwise(0)).otherwise(self.n)
+
+    def counts(self) -> dict[str, Column]:
+        """Exact numbers of rows below and up to both ends."""
+        x, lo, hi = (F.col(n) for n in (f"__x{self.c}", self.name("lo"), self.name("hi")))
+        return {"below": F.count_if(x < lo), "uptolo": F.count_if(x <= lo), "belowhi": F.count_if(x < hi), "uptohi": F.count_if(x <= hi)}
+
+    def name(self, side: str) -> str:
+        return f"__{side}{self.tag}"
+
+    def first(self) -> list[Column]:
+        """The first bracket, from the sketch of all rows; the one to fall back to is the whole group."""
+        grid, least, most = (F.col(f"__{s}{self.c}") for s in ("grid", "min", "max"))
+        at = lambda k: F.get(grid, F.lit(4 * self.i + k))
+        pick = lambda near, far, end: F.when(self.n * NEAR >= SPARE_ROWS, at(near)).when(self.n * FAR >= SPARE_ROWS, at(far)).otherwise(end)
+        sides = {"lo": pick(1, 0, least), "hi": pick(2, 3, most), "min": least, "max": most}
+        return [value.alias(self.name(side)) for side, value in sides.items()]
+
+
+def _selected(data, columns, probs, keys, bracket_rows):
     if not keys and data.isEmpty():
-        return data.agg(F.lit(None).cast("array<double>").alias("q"))
-    first = data.groupBy(*keys).agg(F.count(x).alias("__n"), F.min(x).alias("__min"), F.max(x).alias("__max"), _sketch(x).alias("__grid"))
-    wide = [_cell(F.col("__grid"), _rank(p), F.col("__n"), F.col("__min"), F.col("__max")) for p in probs]
-    brackets = first.select(
-        *keys, "__n", *[c.alias(f"__{side}{i}") for i in every for side, c in zip(("lo", "hi"), wide[i])],
-        *[c.alias(f"__{side}{i}") for i in every for side, c in (("min", F.col("__min")), ("max", F.col("__max")))],
+        return data.agg(*[F.lit(None).cast("array<double>").alias(f"__q{c}") for c in range(columns)])
+    brackets = [_Bracket(c, i, p) for c in range(columns) for i, p in enumerate(probs)]
+    sizes = [F.col(f"__n{c}") for c in range(columns)]
+    parts = [(F.col(f"__x{c}"), c) for c in range(columns)]
+    first = data.groupBy(*keys).agg(
+        *[a.alias(f"__{s}{c}") for x, c in parts for s, a in (
+            ("n", F.count(x)), ("min", F.min(x)), ("max", F.max(x)), ("grid", _sketch(x, _points(probs), ACCURACY)),
+        )]
     )
-    widened = False
+    # ``min`` and ``max`` of a bracket are the sides of the one before it.
+    limits = first.select(*keys, *sizes, *[side for b in brackets for side in b.first()])
+    misses = 0
     while True:
-        brackets = materialize(brackets)
-        held = ["__n", *[f"__{side}{i}" for i in every for side in ("lo", "hi", "min", "max")]]
-        met = attach(data, brackets, keys, stored=True)
-        inside = lambda i: (x >= F.col(f"__lo{i}")) & (x <= F.col(f"__hi{i}"))
-        counted = materialize(met.groupBy(*keys, *held).agg(
-            *[F.count_if(x < F.col(f"__lo{i}")).alias(f"__below{i}") for i in every],
-            *[F.count_if(inside(i)).alias(f"__in{i}") for i in every],
-            *[_sketch(F.when(inside(i), x)).alias(f"__grid{i}") for i in every],
-        ))
+        limits = materialize(limits)
+        sides = limits.select(*keys, *[x for b in brackets for x in (b.lo, b.hi)])
+        counts = attach(data, sides, keys, stored=True).groupBy(*keys).agg(
+            *[n.alias(b.name(s)) for b in brackets for s, n in b.counts().items()]
+        )
         # A bracket that misses its ranks is widened to the one before it, which holds them.
-        for i in every:
-            hit = (F.col(f"__below{i}") <= F.floor(_rank(probs[i]))) & (F.ceil(_rank(probs[i])) < F.col(f"__below{i}") + F.col(f"__in{i}"))
-            counted = counted.withColumn(f"__hit{i}", hit | (F.col("__n") == 0))
-        # One value is no work, however many rows have it.
-        rows = lambda i: F.when(F.col(f"__lo{i}") < F.col(f"__hi{i}"), F.col(f"__in{i}")).otherwise(0)
-        todo = [F.max(F.when(F.col(f"__hit{i}"), rows(i)).otherwise(F.col("__n"))) for i in every]
-        most, missed = counted.agg(F.greatest(*todo, F.lit(0)), F.max(F.greatest(*[(~F.col(f"__hit{i}")).cast("int") for i in every], F.lit(0)))).first()
-        if not most or (not missed and (widened or most <= bracket_rows)):
+        hits = {b.name("hit"): ((b.below <= F.floor(b.rank)) & (F.ceil(b.rank) < b.upto_hi)) | (b.n == 0) for b in brackets}
+        counted = materialize(attach(limits, counts, keys).withColumns(hits))
+        most, missed = counted.agg(
+            F.max(F.greatest(*[b.work for b in brackets], F.lit(0))), F.max(F.greatest(*[(~b.hit).cast("int") for b in brackets], F.lit(0)))
+        ).first()
+        misses += bool(missed)
+        if not most or (not missed and (misses > 1 or most <= bracket_rows)):
             break
-        widened = bool(missed)
-        nearer = []
-        for i in every:
-            hit, lo, hi = F.col(f"__hit{i}"), F.col(f"__lo{i}"), F.col(f"__hi{i}")
-            # After a miss the other brackets stay as they are, so the next count is the last.
-            low, high = (lo, hi) if missed else _cell(F.col(f"__grid{i}"), _rank(probs[i]) - F.col(f"__below{i}"), F.col(f"__in{i}"), lo, hi)
-            nearer += [
-                F.when(hit, low).otherwise(F.col(f"__min{i}")).alias(f"__lo{i}"), F.when(hit, high).otherwise(F.col(f"__max{i}")).alias(f"__hi{i}"),
-                F.when(hit, F.col(f"__lo{i}")).otherwise(F.col(f"__min{i}")).alias(f"__min{i}"),
-                F.when(hit, F.col(f"__hi{i}")).otherwise(F.col(f"__max{i}")).alias(f"__max{i}"),
-            ]
-        after = counted.select(*keys, "__n", *nearer)
+        if missed:
+            widened = {}
+            for b in brackets:
+                widened |= {b.name("lo"): F.when(b.hit, b.lo).otherwise(b.min), b.name("hi"): F.when(b.hit, b.hi).otherwise(b.max)}
+            limits = counted.withColumns(widened).select(*limits.columns)
+            continue
+        nearer = _narrowed(data, counted, brackets, keys, bracket_rows).select(*limits.columns)
         # Crowded neighbours that no cell can part are sorted as they are: a few distinct values, counted first.
-        if after.exceptAll(counted.select(*keys, *held).select(*after.columns)).isEmpty():
+        cut = [x for b in brackets for x in (b.lo, b.hi)]
+        if nearer.select(*keys, *cut).exceptAll(counted.select(*keys, *cut)).isEmpty():
             break
-        brackets = after
-    limits = counted.select(*keys, "__n", *[f"__{side}{i}" for i in every for side in ("lo", "hi", "below")])
-    return _read_off(data, materialize(limits), probs, keys)
-
-
-def _read_off(data, limits, probs, keys):
-    """The two rows around each quantile, from the counts of the values inside the brackets."""
-    every = range(len(probs))
-    x = F.col("__x")
-    met = attach(data, limits, keys, stored=True)
-    within = [F.when((x >= F.col(f"__lo{i}")) & (x <= F.col(f"__hi{i}")), F.struct(F.lit(i).alias("__i"), F.col(f"__below{i}").alias("__below"))) for i in every]
-    near = met.select(*keys, "__n", "__x", F.inline(F.filter(F.array(*within), lambda s: s.isNotNull())))
-    counts = near.groupBy(*keys, "__i", "__n", "__below", "__x").agg(F.count("*").alias("__rows"))
-    upto = F.sum("__rows").over(Window.partitionBy(*keys, "__i").orderBy("__x")) + F.col("__below")
-    ranked = counts.withColumn("__upto", upto)
-    holds = lambda rank: (F.col("__upto") > rank) & (F.col("__upto") - F.col("__rows") <= rank)
+        limits = nearer
+    return _read_off(data, counted, columns, brackets, keys)
+
+
+def _narrowed(data, counted, brackets, keys, bracket_rows):
+    """Brackets of too many rows cut by a sketch of the rows inside them."""
+    wide = counted.select(*keys, *[x for b in brackets for x in (b.lo, b.hi, (b.work > bracket_rows).alias(b.name("wide")))])
+    met = attach(data, wide, keys, stored=True)
+    points = [c / CELLS for c in range(CELLS + 1)]
+    grids = met.groupBy(*keys).agg(
+        *[_sketch(F.when(F.col(b.name("wide")) & b.between, b.x), points, CELL_ACCURACY).alias(b.name("grid")) for b in brackets]
+    )
+    sides = {}
+    for b in brackets:
+        low, high = _cell(F.col(b.name("grid")), b.rank - b.upto_lo, b.below_hi - b.upto_lo, b.lo, b.hi)
+        cut = b.work > bracket_rows
+        sides |= {
+            b.name("lo"): F.when(cut, low).otherwise(b.lo), b.name("hi"): F.when(cut, high).otherwise(b.hi),
+            b.name("min"): F.when(cut, b.lo).otherwise(b.min), b.name("max"): F.when(cut, b.hi).otherwise(b.max),
+        }
+    return attach(counted, grids, keys).withColumns(sides)
+
+
+def _read_off(data, limits, columns, brackets, keys):
+    """The two rows around each quantile: the ends of its bracket, or by the counts of the values between them."""
+    # A bracket without work gets no rows: its ranks are at its ends.
+    needed = limits.select(*keys, *[F.when(b.work > 0, x).alias(b.name(s)) for b in brackets for s, x in (("lo", b.lo), ("hi", b.hi))])
+    met = attach(data, needed, keys, stored=True)
+    open_rows = [b.between for b in brackets]
+    some = open_rows[0]
+    for more in open_rows[1:]:
+        some = some | more
+    within = [F.when(held, F.struct(F.lit(j).alias("__b"), b.x.alias("__x"))) for j, (b, held) in enumerate(zip(brackets, open_rows))]
+    near = met.where(some).select(*keys, F.inline(F.filter(F.array(*within), lambda s: s.isNotNull())))
+    counts = near.groupBy(*keys, "__b", "__x").agg(F.count("*").alias("__rows"))
+    upto = F.sum("__rows").over(Window.partitionBy(*keys, "__b").orderBy("__x"))
+    ranks = limits.select(*keys, *[F.col(f"__n{c}") for c in range(columns)], *[b.upto_lo for b in brackets])
+    ranked = attach(counts.withColumn("__upto", upto), ranks, keys, stored=True)
     found = []
-    for i, p in enumerate(probs):
-        mine = F.col("__i") == i
-        found += [F.max(F.when(mine & holds(f(_rank(p))), x)).alias(f"__{side}{i}") for side, f in (("low", F.floor), ("high", F.ceil))]
-    picked = ranked.groupBy(*keys, "__n").agg(*found)
+    for j, b in enumerate(brackets):
+        last, mine = F.col("__upto") + b.upto_lo, F.col("__b") == j
+        holds = lambda rank: mine & (last > rank) & (last - F.col("__rows") <= rank)
+        found += [F.max(F.when(holds(f(b.rank)), F.col("__x"))).alias(b.name(s)) for s, f in (("low", F.floor), ("high", F.ceil))]
+    picked = ranked.groupBy(*keys).agg(*found)
+    met = attach(limits, picked, keys)
     # The arithmetic of the built-in, so that both plans give the same doubles.
-    parts = []
-    for i, p in enumerate(probs):
-        at, low, high = _rank(p), F.col(f"__low{i}"), F.col(f"__high{i}")
-        between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
-        parts.append(F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise(between))
-    quantiles = picked.select(*keys, F.array(*parts).alias("q"))
-    if not keys:
-        return quantiles if limits.first()["__n"] else limits.select(F.lit(None).cast("array<double>").alias("q"))
-    return join_on(limits.select(*keys), quantiles, keys, "left")
+    out = []
+    for c in range(columns):
+        parts = []
+        for b in brackets:
+            if b.c != c:
+                continue
+            value = lambda rank, side: F.when(rank < b.upto_lo, b.lo).when(rank >= b.below_hi, b.hi).otherwise(F.col(b.name(side))) + F.lit(0.0)
+            at, low, high = b.rank, value(F.floor(b.rank), "low"), value(F.ceil(b.rank), "high")
+            between = (F.ceil(at) - at) * low + (at - F.floor(at)) * high
+            parts.append(F.when((F.floor(at) == F.ceil(at)) | (low == high), low).otherwise(between))
+        out.append(F.when(F.col(f"__n{c}") > 0, F.array(*parts)).alias(f"__q{c}"))
+    return met.select(*keys, *out)

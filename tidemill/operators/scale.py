@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemill.operators.profile import missing
-from tidemill.operators.quantiles import group_quantiles
+from tidemill.operators.quantiles import column_quantiles
 from tidemill.plans.sizing import PERCENTILE_LIMIT, attach
 
 METHODS = ("minmax", "standard", "robust", "minmax_guarded", "standard_guarded")
@@ -84,18 +84,14 @@ def _fit_moments(df, columns, keys, method):
 
 
 def _fit_quartiles(df, columns, keys, strategy, plain_limit):
-    """All columns are melted so that one quantile pass serves them all."""
-    long = df.select(
-        *keys,
-        F.inline(F.array(*[F.struct(F.lit(i).alias("__c"), F.col(c).cast("double").alias("__v")) for i, c in enumerate(columns)])),
-    )
-    q = group_quantiles(long, "__v", (0.25, 0.5, 0.75), [*keys, "__c"], strategy, plain_limit)
-    wide = []
-    for i in range(len(columns)):
-        mine = F.col("__c") == i
-        wide.append(F.max(F.when(mine, F.col("q")[1])).alias(f"center{i}"))
-        wide.append(F.max(F.when(mine, F.col("q")[2] - F.col("q")[0])).alias(f"scale{i}"))
-    return q.groupBy(*keys).agg(*wide)
+    """One quantile pass over the rows serves all columns."""
+    q = column_quantiles(df, columns, (0.25, 0.5, 0.75), keys, strategy, plain_limit)
+    quartile = lambda c, i: F.col(f"__q{c}")[i]
+    wide = [
+        x for c in range(len(columns))
+        for x in (quartile(c, 1).alias(f"center{c}"), (quartile(c, 2) - quartile(c, 0)).alias(f"scale{c}"))
+    ]
+    return q.select(*keys, *wide)
 
 
 def apply_scaler(df: DataFrame, params: DataFrame, columns: Sequence[str], keys: Sequence[str] = (), inverse: bool = False) -> DataFrame:
