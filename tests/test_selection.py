@@ -217,3 +217,16 @@ def test_chunks_rise_with_keys_and_order(spark):
     assert max(ordered.count(c) for c in range(20)) < 1000
     empty = df.where("id < 0")
     assert empty.withColumn("c", range_chunk(empty, ["t", "id"])).count() == 0
+
+
+def test_chunks_are_found_by_halving(spark):
+    """A row is compared with as many boundaries as their number has bits, not with its square root."""
+    df = spark.range(3000).select((F.col("id") % 3).alias("k"), (F.col("id") * 7 % 1009).alias("t"), "id")
+    for chunks in (1, 2, 37, 64, 65):
+        rows = df.withColumn("c", range_chunk(df, ["t", "id"], ["k"], chunks))
+        found = [r.c for r in rows.orderBy("k", "t", "id").collect()]
+        assert found == sorted(found) and set(found) == set(range(max(found) + 1)) and max(found) < chunks
+        if chunks == 65:
+            text = rows._jdf.queryExecution().optimizedPlan().toString()
+            assert "filter(" not in text and "from_json" not in text and text.count("<=") == 1
+            assert f"[{','.join(str(1 << b) for b in reversed(range(max(found).bit_length())))}]" in text

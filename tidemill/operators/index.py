@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -59,16 +58,18 @@ def range_chunk(df: DataFrame, order_by: Sequence[str], keys: Sequence[str] = ()
     if not drawn:
         return F.lit(0)
 
-    # A boundary that loses precision as text is still a boundary: only the order of both lists matters.
+    # A boundary that loses precision as text is still a boundary: only the order matters.
     schema = f"array<{rows.schema['place'].dataType.simpleString()}>"
-    step = math.isqrt(len(drawn) - 1) + 1
-    edges, coarse = (F.sort_array(F.from_json(F.lit("[" + ",".join(part) + "]"), schema, _JSON)) for part in (drawn, drawn[::step]))
+    edges = F.sort_array(F.from_json(F.lit("[" + ",".join(drawn) + "]"), schema, _JSON))
+    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(len(drawn).bit_length()))])
 
-    def passed(boundaries: Column) -> Column:
-        return F.size(F.filter(boundaries, lambda b: b <= place))
+    def last(here: Column) -> Column:
+        """The last boundary up to ``here`` (-1: none), by halving; beyond the last there is no boundary, so no step."""
+        return F.aggregate(steps, F.lit(-1), lambda at, step: F.when(F.get(edges, at + step) <= here, at + step).otherwise(at))
 
-    block = passed(coarse)
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + passed(F.slice(edges, (block - 1) * step + 1, step)))
+    # The place is made once a row, not once a comparison.
+    # The place is made once a row, not once a comparison.
+    return F.transform(F.array(place), last)[0] + 1
 
 
 def _ranged_index(df, order_by, keys, pos, partitions):
