@@ -146,3 +146,17 @@ def test_ids_equal_those_of_tokenizers():
         texts = ["".join(draw.choices(parts, k=draw.randrange(30))) for _ in range(100)]
         got = tokens.batch(*text_bytes(pa.array(texts)))
         assert [ids.tolist() for ids in got] == [plain_tokens.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_texts_are_sent_to_the_cut_once(spark):
+    """The cut takes the text from the row, wherever it stands there, and gets no second copy."""
+    passage = "One sentence of the passage that stands in both texts. " * 6
+    rows = [(passage + "Tail one.", 5, 1), ("Head two. " + passage, 6, 2), (None, 7, 3), ("", 8, 4)]
+    docs = spark.createDataFrame(rows, "text string, note long, doc_id long")
+    out = dedup_substrings(docs, run_words=25)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    sent = next(x for x in plan[plan.index("MapInArrow"):].splitlines()[1:] if "Project" in x)
+    assert "AS text" not in sent
+    got = {r.row.doc_id: (r.row.note, r.kept_text) for r in out.collect()}
+    assert got[3] == (7, None) and got[4] == (8, "") and got[2] == (6, "Head two. ")
+    assert len(got[1][1]) < len(rows[0][0]) and got[1][1].endswith("Tail one.")

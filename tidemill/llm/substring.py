@@ -77,15 +77,18 @@ def runs(units: list[tuple[int, int, bool]], words: dict[int, int], least: int)
     return spans
 
 
-def _cut(pattern: str, least: int, schema: pa.Schema):
+def _cut(pattern: str, least: int, schema: pa.Schema, at: int):
+    """``at``: which field of ``row`` is the text; texts are sent to Python once, inside ``row``."""
     compiled = re.compile(pattern)
 
     def run(batches):
         for batch in batches:
             kept, cut = [], []
-            for text, again in zip(named(batch, "text").to_pylist(), named(batch, "again").to_pylist()):
+            texts, again = named(batch, "row").field(at), named(batch, "again")
+            for row in range(batch.num_rows):
                 # A text whose repeated units are too few words in all needs no second look.
-                words = {u["pos"]: u["words"] for u in again or ()}
+                words = {u["pos"]: u["words"] for u in again[row].as_py() or ()}
+                text = texts[row].as_py()
                 if text is None or sum(words.values()) < least:
                     kept.append(text)
                     cut.append([])
@@ -99,6 +102,8 @@ def _cut(pattern: str, least: int, schema: pa.Schema):
                     [pa.field("row", named(batch, "row").type), schema.field(1), schema.field(2)]
                 )
             )
+            del batch, texts, again, kept, cut
+            pa.default_memory_pool().release_unused()
 
     return run
 
@@ -129,4 +134,4 @@ def dedup_substrings(docs: DataFrame, pattern: str = UNIT, run_words: int = RUN_
     arrow = pa.schema([("row", pa.null()), ("kept_text", pa.string()), ("removed", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
     # ``again`` grows with the documents, so it is never broadcast; the text crosses the shuffle once, inside ``row``.
     met = wide.join(again.hint("merge"), wide["_key"] == again["_id"], "left")
-    return met.select("row", F.col("row")["text"].alias("text"), "again").mapInArrow(_cut(pattern, run_words, arrow), schema)
+    return met.select("row", "again").mapInArrow(_cut(pattern, run_words, arrow, docs.columns.index("text")), schema)
