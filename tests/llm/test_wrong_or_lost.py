@@ -160,3 +160,44 @@ def test_texts_are_sent_to_the_cut_once(spark):
     got = {r.row.doc_id: (r.row.note, r.kept_text) for r in out.collect()}
     assert got[3] == (7, None) and got[4] == (8, "") and got[2] == (6, "Head two. ")
     assert len(got[1][1]) < len(rows[0][0]) and got[1][1].endswith("Tail one.")
+
+
+def test_waiting_examples_hold_their_own_ids_only(monkeypatch):
+    """The ids of long documents do not stay in the task until their last stretch is packed."""
+    import pyarrow as pa
+
+    from tidemill.llm import packing
+
+    made, held = [], []
+    monkeypatch.setattr(packing, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("At", (), {"partitionId": lambda self: 0})())}))
+    monkeypatch.setattr(packing, "Packer", lambda limits, kind=packing.Packer: made.append(kind(limits)) or made[-1])
+
+    def batches():
+        for k in range(3):
+            texts = [" ".join(f"w{i}" for i in range(4_000 + 37 * (5 * k + j))) for j in range(5)]
+            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(range(5 * k, 5 * k + 5)), "text": texts})
+        for example in (x for waiting in made[0].waiting for x in waiting):
+            held.extend((x if x.base is None else x.base).nbytes for x in example if isinstance(x, np.ndarray))
+
+    pieces = [r for out in packing._pieces(packing.Limits(), None)(batches()) for r in out.to_pylist()]
+    assert len(held) == 15 and max(held) <= 4 * packing.Limits().tokens
+    for doc_id in range(15):
+        own = sorted((r["start"], r["length"], r["doc_tokens"]) for r in pieces if r["doc_id"] == doc_id)
+        assert [a for a, _, _ in own] == [0, *np.cumsum([n for _, n, _ in own])[:-1]] and sum(n for _, n, _ in own) == own[0][2]
+
+
+@pytest.mark.parametrize("seeds_sent", [decontaminate.BROADCAST_SEEDS, 0])
+def test_hits_and_their_verification_run_in_different_tasks(spark, monkeypatch, seeds_sent):
+    """A task with two Python steps holds two workers; both stay with the executor and so add to its memory for good."""
+    steps = []
+
+    def stored(df, name, keep=decontaminate.stored):
+        steps.append(df._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow"))
+        return keep(df, name)
+
+    monkeypatch.setattr(decontaminate, "stored", stored)
+    words = " ".join(f"word{k}" for k in range(40))
+    docs = spark.createDataFrame([(1, f"before {words} after"), (2, "nothing of it " * 20), (3, None)], "doc_id long, text string")
+    out = contaminated(docs, spark.createDataFrame([(7, words)], "item_id long, text string"), broadcast_seeds=seeds_sent)
+    assert max(steps) == 1
+    assert {r.row.doc_id: r["items"] for r in out.collect()} == {1: [7], 2: [], 3: []}

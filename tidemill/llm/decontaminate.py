@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemill.llm.shared import in_batches, named, rows, slices, stored, text_bytes
+from tidemill.llm.shared import dropped, in_batches, named, rows, slices, stored, text_bytes
 from tidemill.llm.words import PLACE, mix, plain_words
 
 #: Which of the following words a seed looks at (1) or ignores (0). Together they hit every overlap that counts (tested).
@@ -151,8 +151,7 @@ def _verified(batches):
 
 
 def _dealt(hits: DataFrame, seeds: DataFrame, most: int) -> DataFrame:
-    """Hits joined with seeds by a shuffle; the hits of a frequent seed are dealt over several tasks, its items copied to them."""
-    hits = stored(hits, "hits")
+    """Stored hits joined with seeds by a shuffle; the hits of a frequent seed are dealt over several tasks, its items copied to them."""
     often = stored(hits.groupBy("seed").count().where(F.col("count") > most).select("seed", F.ceil(F.col("count") / most).cast("int").alias("deals")), "often")
     # At most one row per ``most`` hits.
     often = F.broadcast(often) if often.count() <= BROADCAST_SEEDS else often
@@ -187,10 +186,12 @@ def contaminated(
     if not n_seeds:
         return wide.select("row", none.alias("items"))
     lengths = [r.need for r in seeds.where(F.col("need") < MIN_ITEM).select("need").distinct().orderBy("need").collect()]
-    hits = _hits(docs, seeds, n_seeds, lengths, window)
+    # Read again before they are verified: else each task would hold two Python workers, which stay with their executor.
+    hits = stored(_hits(docs, seeds, n_seeds, lengths, window), "hits")
     met = hits.join(F.broadcast(seeds), "seed") if n_seeds <= broadcast_seeds else _dealt(hits, seeds, hits_in_task)
     pairs = met.select("digest", "item_id", "need", "least", "words", "item_words").mapInArrow(_verified, "digest binary, item_id long")
     found = stored(pairs.groupBy("digest").agg(F.sort_array(F.collect_set("item_id")).alias("items")), "found")
+    dropped(hits)
     few = found.agg(F.count("*"), F.coalesce(F.sum(F.size("items")), F.lit(0))).first()
     if sum(few) <= 2 * BROADCAST_SEEDS:
         found = F.broadcast(found)

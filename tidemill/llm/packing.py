@@ -190,22 +190,28 @@ def _pieces(limits: Limits, ranks: str | None):
             out = []
             for pieces in sequences:
                 offset = 0
-                for (doc_id, ids, start), length in pieces:
-                    out.append((doc_id, start, length, zlib.crc32(ids[start: start + length].tobytes()), len(ids), number, offset))
+                for (doc_id, total, first, ids, at), length in pieces:
+                    out.append((doc_id, first + at, length, zlib.crc32(ids[at: at + length].tobytes()), total, number, offset))
                     offset += length
                 number += 1
             return rows(_PIECE, *zip(*out)) if out else None
 
+        def encoded(batch):
+            for part in slices([batch]):
+                yield from zip(named(part, "doc_id").to_pylist(), tokeniser.batch(*text_bytes(named(part, "text"))))
+
         for batch in slices(batches, 1_500_000):
             full = []
-            for doc_id, ids in zip(named(batch, "doc_id").to_pylist(), tokeniser.batch(*text_bytes(named(batch, "text")))):
+            for doc_id, ids in encoded(batch):
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 for start in range(0, len(ids), whole):
-                    size = min(whole, len(ids) - start)
+                    piece = ids[start: start + whole]
+                    size = len(piece)
                     if size == limits.tokens:
-                        full.append([((doc_id, ids, start), size)])
+                        full.append([((doc_id, len(ids), start, piece, 0), size)])
                     else:
-                        packer.add(size, size, (doc_id, ids, start))
+                        # A copy: what waits holds its own ids only, not those of its whole document.
+                        packer.add(size, size, (doc_id, len(ids), start, piece.copy(), 0))
             out = written(full)
             if out:
                 yield out
@@ -223,7 +229,8 @@ def packed_documents(docs: DataFrame, limits: Limits = Limits(), ranks: str | No
     A document is its ids and the end id, all of them bearing loss. Stretches of a full sequence are sequences of
     their own; what remains waits in its task until enough examples are there to choose from. A task reads its
     documents once, packs them as it goes and shuffles nothing; its last sequence may be short. Sequence ids are
-    unique over all tasks and the same when a task runs again.
+    unique over all tasks and the same when a task runs again. Memory follows the longest text; an example that waits
+    takes the ids of at most one sequence.
 
     A null or empty text is the end id alone. Null ids are kept; rows that repeat an id are documents of their own.
     Empty table: no rows. Other columns are ignored.
