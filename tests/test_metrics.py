@@ -96,6 +96,11 @@ def test_bands(spark):
     assert {r.band: r.n for r in metrics.error_bands(df).collect()} == {"excellent": 2, "good": 1, "poor": 1, "beyond": 1}
 
 
+def test_unknown_errors_are_in_no_band(spark):
+    df = pairs(spark, [(0.0, 0.05), (0.0, 9.0), (1.0, None), (None, 1.0), (None, None), (0.0, float("nan"))])
+    assert {r.band: r.n for r in metrics.error_bands(df).collect()} == {"excellent": 1, "beyond": 1}
+
+
 def test_evaluate_job(spark, tmp_path):
     df = spark.range(300).select(
         F.col("id").alias("index"), F.col("id").cast("double").alias("actual"), (F.col("id") + F.col("id") % 3).cast("double").alias("predicted")

@@ -262,7 +262,7 @@ def error_bands(
     actual: str = "actual",
     predicted: str = "predicted",
 ) -> DataFrame:
-    """(keys, band, n): absolute errors by band, ``beyond`` above the last limit."""
+    """(keys, band, n): absolute errors by band, ``beyond`` above the last limit. Rows where a side is unknown have no error."""
     limits = sorted((bands or ERROR_BANDS).items(), key=lambda item: item[1])
     e = F.abs(F.col("__e"))
     band = None
@@ -270,6 +270,7 @@ def error_bands(
         band = F.when(e <= limit, name) if band is None else band.when(e <= limit, name)
     return (
         _errors(df, keys, actual, predicted)
+        .where("__e IS NOT NULL")
         .groupBy(*keys, band.otherwise("beyond").alias("band"))
         .agg(F.count("*").alias("n"))
     )
